@@ -46,7 +46,7 @@ def shortest_number(value: Column) -> Column:
 
     Zero prints as `0`, every other value keeps at least one decimal (`1234.0`).
     """
-    plain = F.rtrim(F.lit("0"), F.round(value, 6).cast("decimal(38,6)").cast("string"))
+    plain = F.rtrim(F.round(value, 6).cast("decimal(38,6)").cast("string"), F.lit("0"))
     return F.when(value == 0, F.lit("0")).otherwise(
         F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
     )
