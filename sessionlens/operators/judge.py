@@ -93,7 +93,7 @@ def rule_judge(prompted: DataFrame) -> DataFrame:
     """Deterministic stand-in: grades derived from the rule scores of the session."""
 
     def grade(name: str) -> Column:
-        return F.floor(name).cast("int")
+        return F.floor(F.round(name, 6)).cast("int")
 
     answer = F.to_json(
         F.struct(
