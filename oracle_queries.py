@@ -345,10 +345,10 @@ _PROMPT = f"""
       || {_quoted(judge.PROMPT_EXCUSED)} || 'Session replay:' || chr(10)
       || coalesce(replay_text, '(no events)') || chr(10) || chr(10)
       || 'Session metrics:' || chr(10) || '- interactions: ' || num_interactions
-      || ', cost: $' || printf('%.4f', coalesce(total_cost_usd, 0.0))
-      || ', cache_hit_rate: ' || printf('%.2f', coalesce(cache_hit_rate, 0.0) * 100) || '%'
-      || chr(10) || '- tool_success_rate: ' || printf('%.2f', coalesce(tool_success_rate, 0.0))
-      || ', auto_accept_rate: ' || printf('%.2f', coalesce(auto_accept_rate, 0.0))
+      || ', cost: $' || printf('%.4f', round(coalesce(total_cost_usd, 0.0), 9))
+      || ', cache_hit_rate: ' || printf('%.2f', round(coalesce(cache_hit_rate, 0.0) * 100, 9)) || '%'
+      || chr(10) || '- tool_success_rate: ' || printf('%.2f', round(coalesce(tool_success_rate, 0.0), 9))
+      || ', auto_accept_rate: ' || printf('%.2f', round(coalesce(auto_accept_rate, 0.0), 9))
       || chr(10) || chr(10) || {_quoted(judge.PROMPT_DIMENSIONS)}
       || {_quoted(judge.PROMPT_ANSWER)} AS full_prompt
     FROM scored LEFT JOIN replays USING (session_id)"""

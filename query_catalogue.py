@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,35 +45,35 @@ class Inputs:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
 
-    @property
+    @cached_property
     def traces(self) -> DataFrame:
         return adapter.traces(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def logs(self) -> DataFrame:
         return adapter.logs(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def points(self) -> DataFrame:
         return adapter.metrics(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
         return timeline.session_events(self.traces, self.logs)
 
-    @property
+    @cached_property
     def metrics(self) -> DataFrame:
         return metrics.session_metrics(self.points)
 
-    @property
+    @cached_property
     def summary(self) -> DataFrame:
         return summary.session_summary(self.traces, self.metrics)
 
-    @property
+    @cached_property
     def completed(self) -> DataFrame:
         return signals.completed_sessions(self.summary, _at(AS_OF), IDLE)
 
-    @property
+    @cached_property
     def human_signals(self) -> DataFrame:
         return signals.session_human_signals(
             signals.completed_sessions(summary.span_summary(self.traces), _at(AS_OF), IDLE),
@@ -81,11 +82,11 @@ class Inputs:
             _at(AS_OF),
         )
 
-    @property
+    @cached_property
     def rule_scores(self) -> DataFrame:
         return scores.rule_scores(self.completed, scores.visible_error_counts(self.events))
 
-    @property
+    @cached_property
     def prompted(self) -> DataFrame:
         return prompted_sessions(self.completed, self.events)
 

@@ -19,10 +19,7 @@ def attr(key: str, column: str = "attributes") -> Column:
 
 def attr_long(key: str, column: str = "attributes") -> Column:
     """Whole-number value; text with a fraction is cut towards zero."""
-    text = attr(key, column)
-    return F.coalesce(
-        text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint")
-    )
+    return attr(key, column).try_cast("decimal(38,6)").try_cast("bigint")
 
 
 def attr_double(key: str, column: str = "attributes") -> Column:

@@ -6,27 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sessionlens import vocabulary as v
-from sessionlens.functions.attributes import attr
 
 
-def _background() -> Column:
-    return attr("query_source") == v.QUERY_SOURCE_BACKGROUND
-
-
-def _user_abort() -> Column:
-    return attr("error") == v.ERROR_USER_ABORT
-
-
-def error_type() -> Column:
-    """Event type of an error record; the first rule that holds decides."""
+def error_type() -> str:
+    """Event type of an error record, as SQL; the first rule that holds decides."""
     return (
-        F.when(F.col("body") == v.LOG_INTERNAL_ERROR, v.INTERNAL_ERROR)
-        .when(_background(), v.BACKGROUND_ABORTED)
-        .when(_user_abort(), v.USER_ABORTED)
-        .otherwise(v.ERROR)
+        f"CASE WHEN body = '{v.LOG_INTERNAL_ERROR}' THEN '{v.INTERNAL_ERROR}' "
+        f"WHEN attributes['query_source'] = '{v.QUERY_SOURCE_BACKGROUND}' "
+        f"THEN '{v.BACKGROUND_ABORTED}' "
+        f"WHEN attributes['error'] = '{v.ERROR_USER_ABORT}' THEN '{v.USER_ABORTED}' "
+        f"ELSE '{v.ERROR}' END"
     )
 
 
 def error_category() -> Column:
-    """Whether the person at the keyboard saw the error."""
-    return F.when(error_type() == v.ERROR, v.USER_VISIBLE).otherwise(v.INVISIBLE)
+    """Whether the person at the keyboard saw the error; NULL for other events."""
+    invisible = (v.INTERNAL_ERROR, v.BACKGROUND_ABORTED, v.USER_ABORTED)
+    return F.when(F.col("event_type").isin(*invisible), v.INVISIBLE).when(
+        F.col("event_type") == v.ERROR, v.USER_VISIBLE
+    )

@@ -46,7 +46,8 @@ def judge_prompt(subject: str = PROMPT_SUBJECT) -> Column:
     """Prompt text from `replay_text` and the summary columns of a session."""
 
     def number(name: str, scale: float = 1.0) -> Column:
-        return F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.lit(scale)
+        # Nine decimals hide in which order the parts of a sum were added.
+        return F.round(F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.lit(scale), 9)
 
     # An empty replay counts as none.
     replay = F.coalesce(F.nullif("replay_text", F.lit("")), F.lit(NO_EVENTS))

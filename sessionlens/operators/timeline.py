@@ -2,11 +2,17 @@
 
 Each source is read once: one projection classifies every log record and fills
 the columns its type defines, a second one does the same for tool spans.
+
+Fused with its neighbours, the log projection would become one generated method
+of more than 8,000 bytes, which the JVM interprets instead of compiling it (three
+times slower here). Bodies that fill a column the same way therefore share one
+branch, and concatenations are lambdas: Spark then compiles the projection on its
+own and splits it into small methods.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens import vocabulary as v
@@ -14,8 +20,6 @@ from sessionlens.functions.attributes import (
     SESSION_KEY,
     attr,
     attr_double,
-    attr_long,
-    attr_timestamp,
     first_event_attr,
     nanos_to_timestamp,
 )
@@ -23,139 +27,144 @@ from sessionlens.functions.errors import error_category, error_type
 from sessionlens.sources.schemas import SESSION_EVENTS
 
 COLUMNS = SESSION_EVENTS.fieldNames()
-_ERRORS = (v.LOG_INTERNAL_ERROR, v.LOG_API_ERROR)
-
+ERROR_BODIES = (v.LOG_INTERNAL_ERROR, v.LOG_API_ERROR)
+BODIES = (
+    v.LOG_USER_PROMPT,
+    v.LOG_API_REQUEST,
+    v.LOG_TOOL_DECISION,
+    v.LOG_TOOL_RESULT,
+    *ERROR_BODIES,
+)
 
-def _preview(text: Column) -> Column:
-    return F.substring(text, 1, v.PREVIEW_CHARS)
 
+def _a(key: str) -> str:
+    return f"attributes['{key}']"
 
-def _prompt() -> dict[str, Column]:
-    return {
-        "event_type": F.lit(v.USER_PROMPT),
-        "detail_name": F.coalesce(attr("command_name"), F.lit("")),
-        "content_preview": _preview(attr("prompt")),
-        "full_content": attr("prompt"),
-    }
 
+def _preview(text: str) -> str:
+    return f"substring({text}, 1, {v.PREVIEW_CHARS})"
 
-def _api_request() -> dict[str, Column]:
-    return {
-        "event_type": F.lit(v.LLM_CALL),
-        "detail_name": attr("query_source"),
-        "duration_ms": attr_double("duration_ms"),
-        "input_tokens": attr_long("input_tokens"),
-        "output_tokens": attr_long("output_tokens"),
-        "cost_usd": attr_double("cost_usd"),
-        "content_preview": F.concat(
-            attr("model"),
-            F.lit(" | in:"),
-            attr("input_tokens"),
-            F.lit(" out:"),
-            attr("output_tokens"),
-            F.lit(" cache_read:"),
-            attr("cache_read_tokens"),
-        ),
-        "model": attr("model"),
-    }
 
+def _concat(*parts: str) -> str:
+    """Concatenation of texts and `a[...]` attributes, as a lambda."""
+    return f"transform(array(attributes), a -> concat({', '.join(parts)}))[0]"
 
-def _decision() -> dict[str, Column]:
-    return {
-        "event_type": F.lit(v.TOOL_DECISION),
-        "detail_name": attr("decision"),
-        "content_preview": F.concat(
-            attr("tool_name"),
-            F.lit(" → "),
-            attr("decision"),
-            F.lit(" (source: "),
-            F.coalesce(attr("source"), F.lit("unknown")),
-            F.lit(")"),
-        ),
-        "tool_name": attr("tool_name"),
-        "tool_use_id": attr("tool_use_id"),
-        "decision_source": attr("source"),
-    }
 
+def _double(key: str) -> str:
+    return f"try_cast({_a(key)} AS DOUBLE)"
 
-def _result() -> dict[str, Column]:
-    def size(key):
-        return F.coalesce(attr(key), F.lit("0"))
 
-    return {
-        "event_type": F.lit(v.TOOL_RESULT),
-        "detail_name": F.concat(
-            attr("tool_name"),
-            F.lit(" | in:"),
-            size("tool_input_size_bytes"),
-            F.lit("B out:"),
-            size("tool_result_size_bytes"),
-            F.lit("B"),
-        ),
-        "duration_ms": attr_double("duration_ms"),
-        "success": attr("success"),
-        "content_preview": _preview(attr("tool_input")),
-        "full_content": attr("tool_input"),
-        "tool_name": attr("tool_name"),
-        "tool_use_id": attr("tool_use_id"),
-    }
+def _long(key: str) -> str:
+    return f"try_cast(try_cast({_a(key)} AS DECIMAL(38,6)) AS BIGINT)"
 
 
-def _error() -> dict[str, Column]:
-    return {
-        "event_type": error_type(),
-        "detail_name": F.coalesce(attr("error"), attr("error_name"), F.lit("unknown")),
-        "duration_ms": attr_double("duration_ms"),
-        "content_preview": F.coalesce(
-            attr("error"), F.concat(F.lit("error_name="), attr("error_name"))
+# What each log body puts into the columns, as SQL; columns it leaves out are NULL.
+_PROJECTIONS = {
+    v.LOG_USER_PROMPT: {
+        "event_type": f"'{v.USER_PROMPT}'",
+        "detail_name": f"coalesce({_a('command_name')}, '')",
+        "content_preview": _preview(_a("prompt")),
+        "full_content": _a("prompt"),
+    },
+    v.LOG_API_REQUEST: {
+        "event_type": f"'{v.LLM_CALL}'",
+        "detail_name": _a("query_source"),
+        "duration_ms": _double("duration_ms"),
+        "input_tokens": _long("input_tokens"),
+        "output_tokens": _long("output_tokens"),
+        "cost_usd": _double("cost_usd"),
+        "content_preview": _concat(
+            "a['model']",
+            "' | in:'",
+            "a['input_tokens']",
+            "' out:'",
+            "a['output_tokens']",
+            "' cache_read:'",
+            "a['cache_read_tokens']",
         ),
-        "model": attr("model"),
-        "error_category": error_category(),
-    }
-
-
-# The projection of each log body; columns a projection leaves out are NULL.
-_LOG_PROJECTIONS = {
-    (v.LOG_USER_PROMPT,): _prompt,
-    (v.LOG_API_REQUEST,): _api_request,
-    (v.LOG_TOOL_DECISION,): _decision,
-    (v.LOG_TOOL_RESULT,): _result,
-    _ERRORS: _error,
+        "model": _a("model"),
+    },
+    v.LOG_TOOL_DECISION: {
+        "event_type": f"'{v.TOOL_DECISION}'",
+        "detail_name": _a("decision"),
+        "content_preview": _concat(
+            "a['tool_name']",
+            "' → '",
+            "a['decision']",
+            "' (source: '",
+            "coalesce(a['source'], 'unknown')",
+            "')'",
+        ),
+        "tool_name": _a("tool_name"),
+        "tool_use_id": _a("tool_use_id"),
+        "decision_source": _a("source"),
+    },
+    v.LOG_TOOL_RESULT: {
+        "event_type": f"'{v.TOOL_RESULT}'",
+        "detail_name": _concat(
+            "a['tool_name']",
+            "' | in:'",
+            "coalesce(a['tool_input_size_bytes'], '0')",
+            "'B out:'",
+            "coalesce(a['tool_result_size_bytes'], '0')",
+            "'B'",
+        ),
+        "duration_ms": _double("duration_ms"),
+        "success": _a("success"),
+        "content_preview": _preview(_a("tool_input")),
+        "full_content": _a("tool_input"),
+        "tool_name": _a("tool_name"),
+        "tool_use_id": _a("tool_use_id"),
+    },
+    **{
+        body: {
+            "event_type": error_type(),
+            "detail_name": f"coalesce({_a('error')}, {_a('error_name')}, 'unknown')",
+            "duration_ms": _double("duration_ms"),
+            "content_preview": f"coalesce({_a('error')}, "
+            f"concat('error_name=', {_a('error_name')}))",
+            "model": _a("model"),
+        }
+        for body in ERROR_BODIES
+    },
 }
 
 
-def _conform(frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Project to the timeline layout and drop events without a session."""
-    typed = [
-        columns.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-        for field in SESSION_EVENTS
-    ]
-    return frame.filter(columns["session_id"].isNotNull()).select(*typed)
+def _by_body(column: str, bodies: tuple[str, ...]) -> str:
+    """CASE over the bodies that fill `column`; NULL for the others."""
+    branches: dict[str, list[str]] = {}
+    for body in bodies:
+        if column in _PROJECTIONS[body]:
+            branches.setdefault(_PROJECTIONS[body][column], []).append(f"'{body}'")
+    if not branches:
+        return "NULL"
+    cases = " ".join(
+        f"WHEN body IN ({', '.join(of)}) THEN {value}" for value, of in branches.items()
+    )
+    return f"CASE {cases} END"
 
 
 def log_events(logs: DataFrame, *bodies: str) -> DataFrame:
     """Timeline rows of the log records, of all known bodies unless some are named."""
-    projections = {
-        known: build()
-        for known, build in _LOG_PROJECTIONS.items()
-        if not bodies or set(known) & set(bodies)
+    bodies = bodies or BODIES
+    common = {
+        "session_id": _a(SESSION_KEY),
+        "event_ts": f"try_to_timestamp({_a('event.timestamp')})",
+        "event_source": "'log'",
+        "prompt_id": _a("prompt.id"),
     }
-    wanted = [body for known in projections for body in known]
-    columns = {
-        "session_id": attr(SESSION_KEY),
-        "event_ts": attr_timestamp("event.timestamp"),
-        "event_source": F.lit("log"),
-        "prompt_id": attr("prompt.id"),
+    typed = {
+        f.name: f"CAST({common.get(f.name) or _by_body(f.name, bodies)} "
+        f"AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in SESSION_EVENTS
     }
-    for name in COLUMNS:
-        choice = None
-        for known, projection in projections.items():
-            if name in projection:
-                when = (choice if choice is not None else F).when
-                choice = when(F.col("body").isin(*known), projection[name])
-        if choice is not None:
-            columns[name] = choice
-    return _conform(logs.filter(F.col("body").isin(*wanted)), columns)
+    del typed["error_category"]
+    return (
+        logs.filter(F.col("body").isin(*bodies) & attr(SESSION_KEY).isNotNull())
+        .selectExpr(*typed.values())
+        .withColumn("error_category", error_category())
+        .select(*COLUMNS)
+    )
 
 
 def prompt_events(logs: DataFrame) -> DataFrame:
@@ -175,26 +184,30 @@ def tool_result_events(logs: DataFrame) -> DataFrame:
 
 
 def error_events(logs: DataFrame) -> DataFrame:
-    return log_events(logs, *_ERRORS)
+    return log_events(logs, *ERROR_BODIES)
 
 
 def tool_call_events(traces: DataFrame) -> DataFrame:
     """Timeline rows of the tool spans; they carry no prompt id."""
     output = F.coalesce(first_event_attr("output"), first_event_attr("content"))
-    return _conform(
-        traces.filter(F.col("name") == v.SPAN_TOOL),
-        {
-            "session_id": attr(SESSION_KEY),
-            "event_ts": nanos_to_timestamp("start_time_unix_nano"),
-            "event_type": F.lit(v.TOOL_CALL),
-            "detail_name": F.coalesce(attr("full_command"), attr("file_path"), F.lit("")),
-            "duration_ms": attr_double("duration_ms"),
-            "content_preview": _preview(output),
-            "full_content": output,
-            "event_source": F.lit("trace"),
-            "tool_name": attr("tool_name"),
-            "tool_use_id": attr("tool_use_id"),
-        },
+    columns = {
+        "session_id": attr(SESSION_KEY),
+        "event_ts": nanos_to_timestamp("start_time_unix_nano"),
+        "event_type": F.lit(v.TOOL_CALL),
+        "detail_name": F.coalesce(attr("full_command"), attr("file_path"), F.lit("")),
+        "duration_ms": attr_double("duration_ms"),
+        "content_preview": F.substring(output, 1, v.PREVIEW_CHARS),
+        "full_content": output,
+        "event_source": F.lit("trace"),
+        "tool_name": attr("tool_name"),
+        "tool_use_id": attr("tool_use_id"),
+    }
+    calls = traces.filter((F.col("name") == v.SPAN_TOOL) & attr(SESSION_KEY).isNotNull())
+    return calls.select(
+        *[
+            columns.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in SESSION_EVENTS
+        ]
     )
 
 

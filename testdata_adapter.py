@@ -7,224 +7,187 @@ into the spans, the log record or the metric points its type stands for.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sessionlens import vocabulary as v
 from sessionlens.sources.bronze import Bronze
 
-K = F.col("k")
-CENTS = F.col("cents")
-
-
-def _text(value: Column) -> Column:
-    return value.cast("string")
-
-
-def _scaled(value: Column, unit: str) -> Column:
+_EVENT_COLUMNS = (
+    "event_id",
+    "event_type",
+    "user_id",
+    "concat('u', user_id, '-w', date_format(date_trunc('week', ts), 'yyyyMMdd')) AS session_id",
+    "unix_micros(CAST(ts AS TIMESTAMP)) AS micros",
+    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") AS iso_ts",
+    "CAST(round(value * 100) AS BIGINT) AS cents",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+)
+_TOKENS = {
+    "input_tokens": "cents div 10",
+    "output_tokens": "k * 5",
+    "cache_read_tokens": "k * 3",
+    "cache_creation_tokens": "k",
+}
+_DECISION = (
+    "CASE WHEN k % 10 = 9 THEN 'modify' WHEN k % 4 = 0 THEN 'reject' ELSE 'accept' END"
+)
+_SUCCESS = "CASE WHEN k % 10 <> 0 THEN 'true' ELSE 'false' END"
+_NO_ATTRIBUTES = "CAST(map() AS MAP<STRING, STRING>)"
+_NO_EVENTS = "CAST(array() AS ARRAY<STRUCT<attributes: MAP<STRING, STRING>>>)"
+
+
+def _scaled(value: str, unit: str) -> str:
     """Exact decimal text of `value` units."""
-    return _text(value.cast("decimal(18,0)") * F.lit(Decimal(unit)))
+    return f"CAST({value} AS DECIMAL(18,0)) * {unit}"
 
 
-def _attributes(**values: Column) -> Column:
+def _attributes(**values: str) -> str:
     """Attribute map; `__` stands for the dot in a key, the session is always there."""
-    pairs = [F.lit("session.id"), F.col("session_id")]
+    pairs = ["'session.id', session_id"]
     for key, value in values.items():
-        pairs += [F.lit(key.replace("__", ".")), _text(value)]
-    return F.create_map(*pairs)
-
-
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    week = F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id",
-        "event_type",
-        F.concat(F.lit("u"), F.col("user_id"), F.lit("-w"), week).alias("session_id"),
-        F.col("user_id"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("iso_ts"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-
-
-def _tokens() -> dict[str, Column]:
-    return {
-        "input_tokens": F.expr("cents div 10"),
-        "output_tokens": K * 5,
-        "cache_read_tokens": K * 3,
-        "cache_creation_tokens": K,
-    }
-
-
-def _tool() -> Column:
-    return F.when(K != 97, F.concat(F.lit("tool"), K % 5))
-
+        pairs.append(f"'{key.replace('__', '.')}', CAST({value} AS STRING)")
+    return f"map({', '.join(pairs)})"
 
-def _decision() -> Column:
-    return F.when(K % 10 == 9, "modify").when(K % 4 == 0, "reject").otherwise("accept")
 
-
-def _of(kind: str, rows: list[Column], chosen=None) -> Column:
-    start = F if chosen is None else chosen
-    return start.when(F.col("event_type") == kind, F.array(*rows))
+def _expand(spark: SparkSession, sf_dir: str, rows_of: dict[str, list[str]]) -> DataFrame:
+    """Rows of the structs listed for the type of each event."""
+    cases = " ".join(
+        f"WHEN '{kind}' THEN array({', '.join(rows)})" for kind, rows in rows_of.items()
+    )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_EVENT_COLUMNS)
+    return events.selectExpr(f"inline(CASE event_type {cases} END)")
 
 
-def _span(name: str, attributes: Column, end=None, events=None, resource=None) -> Column:
-    start = F.col("micros") * 1000
-    none = F.map_from_entries(F.array().cast("array<struct<k:string,v:string>>"))
-    no_events = F.array().cast("array<struct<attributes:map<string,string>>>")
-    return F.struct(
-        F.lit(name).alias("name"),
-        attributes.alias("attributes"),
-        start.alias("start_time_unix_nano"),
-        (start if end is None else end).alias("end_time_unix_nano"),
-        (no_events if events is None else events).alias("events"),
-        F.struct((none if resource is None else resource).alias("attributes")).alias("resource"),
+def _span(name, attributes, end="micros * 1000", events=_NO_EVENTS, resource=_NO_ATTRIBUTES):
+    return (
+        f"named_struct('name', '{name}', 'attributes', {attributes}, "
+        f"'start_time_unix_nano', micros * 1000, 'end_time_unix_nano', {end}, "
+        f"'events', {events}, 'resource', named_struct('attributes', {resource}))"
     )
 
 
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = F.struct(
-        F.create_map(
-            F.when(K % 3 == 0, "content").otherwise("output"),
-            F.concat(F.lit("out"), F.col("event_id")),
-        ).alias("attributes")
-    )
     interaction = _span(
         v.SPAN_INTERACTION,
         _attributes(
-            user__id=F.col("user_id"),
-            user_prompt_length=K,
-            terminal__type=F.concat(F.lit("t"), K % 2),
-        ),
-        end=F.col("micros") * 1000 + F.expr("(cents div 100) * 1000000000"),
-        resource=F.create_map(
-            F.lit("service.version"),
-            F.concat(F.lit("v"), K % 3),
-            F.lit("os.type"),
-            F.concat(F.lit("os"), K % 2),
+            user__id="user_id", user_prompt_length="k", terminal__type="concat('t', k % 2)"
         ),
+        end="micros * 1000 + (cents div 100) * 1000000000",
+        resource="map('service.version', concat('v', k % 3), 'os.type', concat('os', k % 2))",
     )
     request = _span(
         v.SPAN_LLM_REQUEST,
         _attributes(
-            **_tokens(), ttft_ms=_scaled(CENTS, "0.01"), duration_ms=_scaled(CENTS, "0.1")
+            **_TOKENS, ttft_ms=_scaled("cents", "0.01"), duration_ms=_scaled("cents", "0.1")
         ),
     )
-    blocked = _span(v.SPAN_TOOL_BLOCKED, _attributes(decision=_decision()))
+    blocked = _span(v.SPAN_TOOL_BLOCKED, _attributes(decision=_DECISION))
+    output = "map(CASE WHEN k % 3 = 0 THEN 'content' ELSE 'output' END, concat('out', event_id))"
     tool = _span(
         v.SPAN_TOOL,
         _attributes(
-            tool_name=F.concat(F.lit("tool"), K % 5),
-            full_command=F.when(K % 2 == 0, F.concat(F.lit("run "), K)),
-            file_path=F.when(K % 5 != 0, F.concat(F.lit("/src/"), K)),
-            duration_ms=_scaled(CENTS, "0.01"),
-            tool_use_id=F.concat(F.lit("tu"), F.col("event_id")),
-        ),
-        events=F.when(K % 7 != 0, F.array(output)).otherwise(
-            F.array().cast("array<struct<attributes:map<string,string>>>")
+            tool_name="concat('tool', k % 5)",
+            full_command="CASE WHEN k % 2 = 0 THEN concat('run ', k) END",
+            file_path="CASE WHEN k % 5 <> 0 THEN concat('/src/', k) END",
+            duration_ms=_scaled("cents", "0.01"),
+            tool_use_id="concat('tu', event_id)",
         ),
+        events=f"CASE WHEN k % 7 <> 0 THEN array(named_struct('attributes', {output})) "
+        f"ELSE {_NO_EVENTS} END",
     )
-    execution = _span(
-        v.SPAN_TOOL_EXECUTION,
-        _attributes(success=F.when(K % 10 != 0, "true").otherwise("false")),
+    execution = _span(v.SPAN_TOOL_EXECUTION, _attributes(success=_SUCCESS))
+    return _expand(
+        spark,
+        sf_dir,
+        {
+            "signup": [interaction],
+            "view": [request],
+            "click": [blocked],
+            "purchase": [tool, execution],
+        },
     )
-    spans = _of("signup", [interaction])
-    spans = _of("view", [request], spans)
-    spans = _of("click", [blocked], spans)
-    spans = _of("purchase", [tool, execution], spans)
-    return _events(spark, sf_dir).select(F.inline(spans))
+
+
+def _record(body: str, **attributes: str) -> str:
+    common = {"event__timestamp": "iso_ts", "prompt__id": "concat('p', event_id div 10)"}
+    return f"named_struct('body', {body}, 'attributes', {_attributes(**common, **attributes)})"
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common = {"event__timestamp": F.col("iso_ts"), "prompt__id": F.expr("concat('p', event_id div 10)")}
-    tool_use = F.concat(F.lit("tu"), F.col("event_id"))
-
-    def record(body, **attributes):
-        body = F.lit(body) if isinstance(body, str) else body
-        return F.struct(
-            body.alias("body"), _attributes(**common, **attributes).alias("attributes")
-        )
-
-    prompt = record(
-        v.LOG_USER_PROMPT,
-        command_name=F.when(K % 4 == 0, F.concat(F.lit("/cmd"), K % 3)),
-        prompt=F.concat(F.lit("p"), F.col("event_id")),
+    prompt = _record(
+        f"'{v.LOG_USER_PROMPT}'",
+        command_name="CASE WHEN k % 4 = 0 THEN concat('/cmd', k % 3) END",
+        prompt="concat('p', event_id)",
+    )
+    request = _record(
+        f"'{v.LOG_API_REQUEST}'",
+        **_TOKENS,
+        query_source="CASE WHEN k % 8 <> 0 THEN 'main' END",
+        duration_ms=_scaled("cents", "0.1"),
+        cost_usd=_scaled("cents", "0.00001"),
+        model="concat('m', k % 3)",
     )
-    request = record(
-        v.LOG_API_REQUEST,
-        **_tokens(),
-        query_source=F.when(K % 8 != 0, F.lit("main")),
-        duration_ms=_scaled(CENTS, "0.1"),
-        cost_usd=_scaled(CENTS, "0.00001"),
-        model=F.concat(F.lit("m"), K % 3),
+    decision = _record(
+        f"'{v.LOG_TOOL_DECISION}'",
+        tool_name="CASE WHEN k <> 97 THEN concat('tool', k % 5) END",
+        decision=_DECISION,
+        source="CASE WHEN k % 6 = 0 THEN NULL WHEN k % 2 = 0 THEN 'config' ELSE 'user' END",
+        tool_use_id="concat('tu', event_id)",
     )
-    decision = record(
-        v.LOG_TOOL_DECISION,
-        tool_name=_tool(),
-        decision=_decision(),
-        source=F.when(K % 6 != 0, F.when(K % 2 == 0, "config").otherwise("user")),
-        tool_use_id=tool_use,
+    result = _record(
+        f"'{v.LOG_TOOL_RESULT}'",
+        tool_name="concat('tool', k % 5)",
+        tool_input_size_bytes="CASE WHEN k % 9 <> 0 THEN k * 2 END",
+        tool_result_size_bytes="cents",
+        duration_ms=_scaled("cents", "0.01"),
+        success=_SUCCESS,
+        tool_input="concat('{in ', k, '}')",
+        tool_use_id="concat('tu', event_id)",
     )
-    result = record(
-        v.LOG_TOOL_RESULT,
-        tool_name=F.concat(F.lit("tool"), K % 5),
-        tool_input_size_bytes=F.when(K % 9 != 0, K * 2),
-        tool_result_size_bytes=CENTS,
-        duration_ms=_scaled(CENTS, "0.01"),
-        success=F.when(K % 10 != 0, "true").otherwise("false"),
-        tool_input=F.concat(F.lit("{in "), K, F.lit("}")),
-        tool_use_id=tool_use,
+    error = _record(
+        f"CASE WHEN k < 20 THEN '{v.LOG_INTERNAL_ERROR}' ELSE '{v.LOG_API_ERROR}' END",
+        error_name="CASE WHEN k % 3 <> 0 THEN concat('E', k) END",
+        query_source=f"CASE WHEN k >= 20 AND k < 40 THEN '{v.QUERY_SOURCE_BACKGROUND}' END",
+        error=f"CASE WHEN k >= 60 THEN 'boom' WHEN k >= 40 THEN '{v.ERROR_USER_ABORT}' END",
+        duration_ms=_scaled("cents", "0.01"),
+        model="concat('m', k % 3)",
     )
-    error = record(
-        F.when(K < 20, v.LOG_INTERNAL_ERROR).otherwise(v.LOG_API_ERROR),
-        error_name=F.when(K % 3 != 0, F.concat(F.lit("E"), K)),
-        query_source=F.when((K >= 20) & (K < 40), v.QUERY_SOURCE_BACKGROUND),
-        error=F.when((K >= 40) & (K < 60), v.ERROR_USER_ABORT).when(K >= 60, "boom"),
-        duration_ms=_scaled(CENTS, "0.01"),
-        model=F.concat(F.lit("m"), K % 3),
+    return _expand(
+        spark,
+        sf_dir,
+        {
+            "signup": [prompt],
+            "view": [request],
+            "click": [decision],
+            "purchase": [result],
+            "error": [error],
+        },
     )
-    records = _of("signup", [prompt])
-    records = _of("view", [request], records)
-    records = _of("click", [decision], records)
-    records = _of("purchase", [result], records)
-    records = _of("error", [error], records)
-    return _events(spark, sf_dir).select(F.inline(records))
 
 
-def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def point(name, value, **attributes):
-        return F.struct(
-            F.lit(name).alias("name"),
-            F.struct(
-                value.cast("double").alias("value"), _attributes(**attributes).alias("attributes")
-            ).alias("sum"),
-        )
+def _point(name: str, value: str, **attributes: str) -> str:
+    return (
+        f"named_struct('name', '{name}', 'sum', named_struct("
+        f"'value', CAST({value} AS DOUBLE), 'attributes', {_attributes(**attributes)}))"
+    )
+
 
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = {
-        "model": F.concat(F.lit("m"), K % 3),
-        "effort": F.when(K % 2 == 0, "high").otherwise("low"),
+        "model": "concat('m', k % 3)",
+        "effort": "CASE WHEN k % 2 = 0 THEN 'high' ELSE 'low' END",
     }
-    tokens = _tokens()
+    cost = _point(v.METRIC_COST, "cents / 100000D", **model)
     usage = [
-        point(v.METRIC_TOKENS, tokens[column], type=F.lit(kind))
-        for kind, column in zip(
-            v.TOKEN_TYPES,
-            ["input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens"],
-        )
+        _point(v.METRIC_TOKENS, amount, type=f"'{kind}'")
+        for kind, amount in zip(v.TOKEN_TYPES, _TOKENS.values())
     ]
-    cost = point(v.METRIC_COST, CENTS / F.lit(100000.0), **model)
-    active = point(
+    active = _point(
         v.METRIC_ACTIVE_TIME,
-        CENTS / F.lit(100.0),
-        type=F.when(K % 2 == 1, "cli").otherwise("user"),
+        "cents / 100D",
+        type="CASE WHEN k % 2 = 1 THEN 'cli' ELSE 'user' END",
     )
-    points = _of("view", [cost, *usage])
-    points = _of("click", [active], points)
-    return _events(spark, sf_dir).select(F.inline(points))
+    return _expand(spark, sf_dir, {"view": [cost, *usage], "click": [active]})
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
@@ -233,20 +196,17 @@ def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
 
 def conversation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timeline rows of the chat turns; a turn is one second after the previous one."""
-    role = F.col("role")
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
-        _text(F.col("conv_id")).alias("session_id"),
-        F.timestamp_seconds("turn").alias("event_ts"),
-        F.when(role == "user", v.USER_PROMPT)
-        .when(role == "assistant", v.LLM_CALL)
-        .otherwise("SYSTEM")
-        .alias("event_type"),
-        F.col("role").alias("detail_name"),
-        F.lit(None).cast("double").alias("duration_ms"),
-        F.length("text").cast("bigint").alias("input_tokens"),
-        F.lit(None).cast("bigint").alias("output_tokens"),
-        F.lit(None).cast("double").alias("cost_usd"),
-        F.col("text").alias("content_preview"),
-        F.lit(None).cast("string").alias("model"),
-        F.lit(None).cast("string").alias("error_category"),
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").selectExpr(
+        "CAST(conv_id AS STRING) AS session_id",
+        "timestamp_seconds(turn) AS event_ts",
+        f"CASE role WHEN 'user' THEN '{v.USER_PROMPT}' WHEN 'assistant' THEN '{v.LLM_CALL}' "
+        "ELSE 'SYSTEM' END AS event_type",
+        "role AS detail_name",
+        "CAST(NULL AS DOUBLE) AS duration_ms",
+        "CAST(length(text) AS BIGINT) AS input_tokens",
+        "CAST(NULL AS BIGINT) AS output_tokens",
+        "CAST(NULL AS DOUBLE) AS cost_usd",
+        "text AS content_preview",
+        "CAST(NULL AS STRING) AS model",
+        "CAST(NULL AS STRING) AS error_category",
     )
