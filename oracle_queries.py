@@ -512,7 +512,7 @@ _QUERIES: dict[str, str] = {
     "rule_scores": "SELECT * FROM scored",
     "interaction_index": f"SELECT {_FOUR}, duration_ms, interaction_index FROM indexed",
     "interaction_compressed": "SELECT * FROM compressed",
-    "replay_lines": "SELECT session_id, part, line FROM begun_lines WHERE begins_at < 30000",
+    "replay_lines": "SELECT session_id, part, line FROM begun_lines WHERE begins_at <= 30000",
     "session_replay": "SELECT * FROM replays",
     "conversation_replay": "SELECT * FROM replays",
     "judge_prompt": _PROMPT,

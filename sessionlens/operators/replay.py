@@ -72,7 +72,10 @@ SHORTEST_LINE = len("None [] None model= tokens=0/0 cost=$0.0000 err= | ") - len
 
 
 def lines_within(budget: int) -> int:
-    """Number of lines after which no further line can begin inside the budget."""
+    """Number of lines that can begin at or before the end of the budget.
+
+    The line right at the end shows no character, but its newline does.
+    """
     return budget // SHORTEST_LINE + 1
 
 
@@ -312,7 +315,7 @@ def replay_lines(
         lines.withColumn("number", F.row_number().over(in_text))
         .filter(F.col("number") <= max_lines)
         .withColumn("begins_at", F.coalesce(begins_at, F.lit(0)))
-        .filter(F.col("begins_at") < budget)
+        .filter(F.col("begins_at") <= budget)
         .drop("number", "begins_at")
     )
 
