@@ -54,9 +54,8 @@ def shortest_number(value: Column) -> Column:
 
 def timestamp_text(value: Column) -> Column:
     """`yyyy-MM-dd HH:mm:ss[.ffffff]`; the fraction is absent when it is zero."""
-    seconds = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-    micros = F.date_format(value, "SSSSSS")
-    return F.when(micros == "000000", seconds).otherwise(F.concat(seconds, F.lit("."), micros))
+    length = F.when(F.unix_micros(value) % 1_000_000 == 0, F.lit(19)).otherwise(F.lit(26))
+    return F.substring(F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(1), length)
 
 
 def text_or_none(value: Column) -> Column:

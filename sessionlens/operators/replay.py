@@ -233,10 +233,11 @@ def compressed_interactions(events: DataFrame, bucket_s: int = BUCKET_S) -> Data
 
 
 def _parts(keep: int, max_lines: int) -> Column:
-    """The lines an event takes part in, as ranges of positions in a part.
+    """The lines an event takes part in, as ranges of positions in each part.
 
     Head and tail lines are numbered by the events before them, compressed ones
-    by their interaction. No range reaches further than `max_lines`.
+    by their interaction. A range ends before it starts if the event has no line
+    in the part, and none is longer than `max_lines`.
     """
     first, last, n = F.col("first_index"), F.col("last_index"), F.col("n")
     before, tail_index = F.col("events_before"), F.col("num_interactions") - keep
@@ -264,7 +265,7 @@ def _parts(keep: int, max_lines: int) -> Column:
         F.when(~whole, F.least(last, tail_index - 1, F.lit(keep + max_lines - 1))).otherwise(-1),
     )
     tail = span(_TAIL, before + before_tail, before + n - 1)
-    return F.filter(F.array(head, middle, tail), lambda s: s["low"] <= s["high"])
+    return F.array(head, middle, tail)
 
 
 def replay_lines(
@@ -284,22 +285,25 @@ def replay_lines(
         raise ValueError("keep must be at least 1")
     max_lines = lines_within(budget)
     placed = _place_in_session(_combined(events, bucket_s, printed_only=True), events, bucket_s)
-    parts = _shares(placed).withColumn("span", F.explode(_parts(keep, max_lines)))
     event_ts = F.when(F.col("t") > NO_TIME, F.timestamp_micros("t"))
-    taking_part = _explode_range(
-        parts, F.col("span.low"), F.col("span.high"), "position"
-    ).select(
-        "session_id",
-        F.col("span.part").alias("part"),
-        "position",
-        "event_type",
-        "t",
-        "share_n",
-        "share_usd",
-        "share_ms",
-        F.when(
-            F.col("span.part") != _MIDDLE, F.substring(event_line(event_ts), 1, budget)
-        ).alias("verbatim"),
+    taking_part = (
+        _shares(placed)
+        .select("*", F.inline(_parts(keep, max_lines)))
+        .filter(F.col("low") <= F.col("high"))
+        .select("*", F.explode(F.sequence("low", "high")).alias("position"))
+        .select(
+            "session_id",
+            "part",
+            "position",
+            "event_type",
+            "t",
+            "share_n",
+            "share_usd",
+            "share_ms",
+            F.when(
+                F.col("part") != _MIDDLE, F.substring(event_line(event_ts), 1, budget)
+            ).alias("verbatim"),
+        )
     )
     lines = _sum_up(taking_part, "session_id", "part", "position", "verbatim").select(
         "session_id",
