@@ -36,6 +36,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "checkpoints"))
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
