@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sessionlens import vocabulary as v
 from sessionlens.operators import scores, worksets
 from sessionlens.operators.judge import PROMPT_SUBJECT, Judge, session_scores, with_prompt
+from sessionlens.operators.replay import COLUMNS as REPLAY_COLUMNS
 from sessionlens.operators.replay import session_replay
 from sessionlens.operators.signals import completed_sessions
 from sessionlens.sinks import tables
@@ -69,7 +70,11 @@ def score_sessions(
         logger.info("no sessions to score")
         return 0
 
-    events = worksets.events_of(spark.table(f"{silver_schema}.{v.SILVER_EVENTS}"), due, count)
+    timeline = spark.table(f"{silver_schema}.{v.SILVER_EVENTS}").select(*REPLAY_COLUMNS)
+    events = worksets.events_of(timeline, due, count)
+    if count > worksets.BROADCAST_SESSIONS:
+        # Finding the events took a shuffle, and they are read three times.
+        events = tables.materialize(events)
     prompted = prompted_sessions(due, events, keep_interactions, replay_char_budget, subject)
     # A judge is asked once per session: its answers are stored before the
     # parser and the filter, which would otherwise each evaluate it.

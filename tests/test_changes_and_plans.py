@@ -264,6 +264,15 @@ def test_scores_are_written_once_and_failures_retried(spark, silver, schema_name
     assert stored.schema.simpleString() == schemas.SESSION_SCORES.simpleString()
 
 
+def test_large_work_sets_give_the_same_scores(spark, silver, schema_name, monkeypatch):
+    rows = [event(v.USER_PROMPT, 0, "a"), event(v.ERROR, 1, "a", error_category=v.USER_VISIBLE)]
+    silver([session("a"), session("b")], rows)
+    monkeypatch.setattr(worksets, "BROADCAST_SESSIONS", 0)
+    assert _grades(spark, schema_name, judge.rule_judge).keys() == {"a", "b"}
+    stored = spark.table(f"{schema_name}.{v.GOLD_SCORES}").collect()
+    assert {r.session_id: r.quality_score for r in stored} == {"a": 85.0, "b": 100.0}
+
+
 def test_grace_allows_to_score_a_resumed_session_again(spark, silver, schema_name):
     silver([session("a", 20), session("b", 20)])
     early = NOW.replace(day=1, hour=20)
