@@ -26,10 +26,6 @@ def attr_double(key: str, column: str = "attributes") -> Column:
     return attr(key, column).try_cast("double")
 
 
-def attr_timestamp(key: str, column: str = "attributes") -> Column:
-    return F.try_to_timestamp(attr(key, column))
-
-
 def first_event_attr(key: str) -> Column:
     """Attribute of the first span event; NULL for spans without events."""
     return F.get(F.col("events"), F.lit(0))["attributes"].getItem(key)
