@@ -55,7 +55,9 @@ def lexicon(
     """Terms in the band, each with the subsets that keep it as a bit mask."""
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     counted = (
-        docs.select(F.explode(terms(text_or_empty())).alias("term"))
+        # An inner explode would add a filter that computes the terms once more.
+        docs.select(F.explode_outer(terms(text_or_empty())).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .filter(F.col("df").between(math.ceil(least_share * n_docs), most_share * n_docs))
@@ -185,7 +187,7 @@ def fingerprints(
     )
     exploded = sides.select(
         "block", "place", "guest", F.col("s.side").alias("side"),
-        F.explode("s.terms").alias("term"), "doc_id", "n_chars", "edited_sha256",
+        F.explode_outer("s.terms").alias("term"), "doc_id", "n_chars", "edited_sha256",
     )
     found = exploded.join(words, "term", "left").filter(
         F.col("mask").isNotNull() | (F.col("term") == "")

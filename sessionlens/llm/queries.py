@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import imatch, oracles, pieces, urls
+from sessionlens.llm import imatch, jaccard_join, line_dedup, mixing, oracles, pieces, urls
 
 #: The path of the piece model is a parameter; by default that of the public tokenizers.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -46,11 +46,35 @@ def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_chunks", "n_removed", "text")
+
+
+#: As many tokens as there are; the entropy of the weights at 98 percent of its maximum.
+MIX_TARGET = mixing.Target(entropy=0.98, max_repeats=2.0, min_passes=0.0)
+
+
+def temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, MIX_TARGET)
+    return mixed.select(
+        "doc_id", "source", mixing.word_tokens().alias("tokens"), "mix_pass", "mix_block"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_chunks": line_chunks,
         "op2_imatch_fingerprints": imatch_fingerprints,
         "op5_url_vocabulary": url_vocabulary,
         "op7_piece_encoding": piece_encoding,
+        "op8_temperature_mix": temperature_mix,
+        "op10_jaccard_classes": jaccard_classes,
     }
 
 
