@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import imatch, jaccard_join, line_dedup, mixing, oracles, pieces, urls
+from sessionlens.llm import imatch, jaccard_join, line_dedup, mixing, oracles, pieces, toxicity, urls
+from sessionlens.llm.texts import id_remainder
 
 #: The path of the piece model is a parameter; by default that of the public tokenizers.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -55,6 +56,17 @@ def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_chunks", "n_removed", "text")
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs).select(
+        "doc_id",
+        (id_remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
+
+
 #: As many tokens as there are; the entropy of the weights at 98 percent of its maximum.
 MIX_TARGET = mixing.Target(entropy=0.98, max_repeats=2.0, min_passes=0.0)
 
@@ -72,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_chunks": line_chunks,
         "op2_imatch_fingerprints": imatch_fingerprints,
         "op5_url_vocabulary": url_vocabulary,
+        "op6_toxicity": toxicity_scores,
         "op7_piece_encoding": piece_encoding,
         "op8_temperature_mix": temperature_mix,
         "op10_jaccard_classes": jaccard_classes,
