@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import imatch, jaccard_join, line_dedup, mixing, oracles, pieces, toxicity, urls
+from sessionlens.llm import (
+    attention_quality,
+    imatch,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    oracles,
+    pieces,
+    toxicity,
+    urls,
+)
 from sessionlens.llm.texts import id_remainder
 
 #: The path of the piece model is a parameter; by default that of the public tokenizers.
@@ -67,6 +78,25 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(3) == 1
+    model = language_id.fit(docs, ~held_out)
+    named = language_id.with_language(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = attention_quality.fit(docs, table(spark, sf_dir, "labels"))
+    return attention_quality.score(docs, model).select(
+        "doc_id",
+        (id_remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= attention_quality.GOOD).cast("int").alias("predicted"),
+    )
+
+
 #: As many tokens as there are; the entropy of the weights at 98 percent of its maximum.
 MIX_TARGET = mixing.Target(entropy=0.98, max_repeats=2.0, min_passes=0.0)
 
@@ -83,10 +113,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_chunks": line_chunks,
         "op2_imatch_fingerprints": imatch_fingerprints,
+        "op3_language_family": language_family,
         "op5_url_vocabulary": url_vocabulary,
         "op6_toxicity": toxicity_scores,
         "op7_piece_encoding": piece_encoding,
         "op8_temperature_mix": temperature_mix,
+        "op9_attention_quality": attention_scores,
         "op10_jaccard_classes": jaccard_classes,
     }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -105,3 +106,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     v *= np.uint64(0x94D049BB133111EB)
     v ^= v >> np.uint64(31)
     return v
+
+
+_letters: list[np.ndarray] = []
+
+
+def is_letter(points: np.ndarray) -> np.ndarray:
+    """Whether each code point is a letter (Unicode categories L*)."""
+    if not _letters:
+        every = (unicodedata.category(chr(p))[0] == "L" for p in range(0x110000))
+        _letters.append(np.fromiter(every, bool, 0x110000))
+    return _letters[0][points]
