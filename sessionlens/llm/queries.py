@@ -16,6 +16,7 @@ from sessionlens.llm import (
     line_dedup,
     mixing,
     oracles,
+    perplexity,
     pieces,
     toxicity,
     urls,
@@ -97,6 +98,10 @@ def attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.judge(table(spark, sf_dir, "documents"))
+
+
 #: As many tokens as there are; the entropy of the weights at 98 percent of its maximum.
 MIX_TARGET = mixing.Target(entropy=0.98, max_repeats=2.0, min_passes=0.0)
 
@@ -114,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_chunks": line_chunks,
         "op2_imatch_fingerprints": imatch_fingerprints,
         "op3_language_family": language_family,
+        "op4_perplexity_rules": perplexity_rules,
         "op5_url_vocabulary": url_vocabulary,
         "op6_toxicity": toxicity_scores,
         "op7_piece_encoding": piece_encoding,
