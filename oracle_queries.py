@@ -366,7 +366,7 @@ _SCORES = f"""
            'graded by rule' AS llm_summary,
            CASE WHEN quality_score < 70 THEN 'look into the errors' ELSE 'none' END
              AS llm_recommendations,
-           {AS_OF} AS scored_at
+           {AS_OF} AS scored_at, session_end AS scored_session_end, {AS_OF} AS first_scored_at
     FROM scored"""
 
 _SIGNALS = """SELECT session_id, user_id, primary_model, session_start, num_interactions,
@@ -476,6 +476,10 @@ def _tool_counts(where: str) -> str:
 _FOUR = "session_id, event_ts, event_type, detail_name"
 _NEW_IDS = f"(SELECT session_id FROM timeline WHERE {_NEW})"
 _FIRST_IDS = f"(SELECT session_id FROM summary WHERE session_end < {FIRST_RUN} - {IDLE})"
+_FIRST_END = (
+    "(CASE WHEN num_interactions % 3 = 0 THEN session_end - INTERVAL 1 HOUR ELSE session_end END)"
+)
+_SHORT = "SELECT session_id, substring(replay_text, 1, 400) AS replay_text FROM replays"
 
 _QUERIES: dict[str, str] = {
     "bronze_traces_scan": _TRACES,
@@ -535,7 +539,13 @@ _QUERIES: dict[str, str] = {
         WHERE session_id NOT IN {_FIRST_IDS}""",
     "due_sessions": f"""SELECT session_id, session_end, num_interactions FROM completed
         WHERE session_id NOT IN {_FIRST_IDS}
-              OR (session_end > {FIRST_RUN} AND session_end <= {FIRST_RUN} + INTERVAL 7 DAY)""",
+              OR (session_end > {_FIRST_END} AND session_end <= {FIRST_RUN} + INTERVAL 7 DAY)""",
+    "events_of_work_set": f"""SELECT {_FOUR} FROM timeline WHERE session_id IN (
+        SELECT session_id FROM completed WHERE session_id NOT IN {_FIRST_IDS}
+              OR (session_end > {_FIRST_END} AND session_end <= {FIRST_RUN} + INTERVAL 7 DAY))""",
+    "session_replay_short": _SHORT,
+    "conversation_replay_short": _SHORT,
+    "judge_parse_mixed": f"{_SCORES} WHERE num_interactions % 5 < 2",
     "idle_segments": """
         SELECT session_id, CAST(segment AS BIGINT) AS segment, min(event_ts) AS segment_start,
                max(event_ts) AS segment_end, count(*) AS num_events
@@ -592,13 +602,14 @@ _ROUNDED: dict[str, str] = {
     "rule_scores": f"{_SUMMARY_DOUBLES} {_SCORE_DOUBLES}",
     "interaction_index": "duration_ms",
     "judge_parse": f"total_cost_usd {_SCORE_DOUBLES}",
+    "judge_parse_mixed": f"total_cost_usd {_SCORE_DOUBLES}",
     "gold_rollup": "avg_friction",
     "daily_scores": "cost_usd avg_composite min_composite max_composite",
 }
 
 
 def _with(name: str, query: str) -> str:
-    ctes = _CONVERSATION if name == "conversation_replay" else {**_CTES, **_REPLAY}
+    ctes = _CONVERSATION if name.startswith("conversation_replay") else {**_CTES, **_REPLAY}
     listed = ",\n".join(f"{cte} AS ({body})" for cte, body in ctes.items())
     rounded = ", ".join(f"round({c}, 9) AS {c}" for c in _ROUNDED.get(name, "").split())
     columns = f"* REPLACE ({rounded})" if rounded else "*"

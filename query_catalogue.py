@@ -32,6 +32,8 @@ IDLE = "INTERVAL 2 DAYS"
 WINDOW_S = 21_600
 CUT = "2024-01-17 00:00:00"
 GAP_S = 86_400
+#: A replay size that most sessions exceed.
+SHORT_REPLAY = 400
 
 
 def _at(text: str):
@@ -88,7 +90,9 @@ class Inputs:
 
     @cached_property
     def prompted(self) -> DataFrame:
-        return prompted_sessions(self.completed, self.events)
+        return prompted_sessions(
+            self.completed, worksets.events_of(self.events, self.completed)
+        )
 
 
 def _traces_scan(i: Inputs) -> DataFrame:
@@ -205,7 +209,14 @@ def _append_evolve(i: Inputs) -> DataFrame:
 
 def _earlier_scores(i: Inputs) -> DataFrame:
     first = signals.completed_sessions(summary.span_summary(i.traces), _at(FIRST_RUN), IDLE)
-    return first.select("session_id", _at(FIRST_RUN).alias("scored_at"))
+    return first.select(
+        "session_id",
+        # Of some sessions the last hour had not arrived when they were scored.
+        F.when(F.col("num_interactions") % 3 == 0, F.col("session_end") - F.expr("INTERVAL 1 HOUR"))
+        .otherwise(F.col("session_end"))
+        .alias("scored_session_end"),
+        _at(FIRST_RUN).alias("first_scored_at"),
+    )
 
 
 def _write_once(i: Inputs) -> DataFrame:
@@ -218,6 +229,32 @@ def _due_sessions(i: Inputs) -> DataFrame:
     return due.select("session_id", "session_end", "num_interactions")
 
 
+def _judge_parse_mixed(i: Inputs) -> DataFrame:
+    """Answers of five kinds: bare, wrapped, malformed, mistyped, without the grade."""
+    judged, answer = judge.rule_judge(i.prompted), F.col("ai_response")
+    grade = '"overall_score":[0-9]+'
+    kinds = (
+        answer,
+        F.concat(F.lit('{"judgment": '), answer, F.lit("}")),
+        F.concat(F.lit("{"), answer),
+        F.regexp_replace(answer, grade, '"overall_score":"high"'),
+        F.regexp_replace(answer, grade, '"another_score":1'),
+    )
+    mixed = kinds[0]
+    for number, kind in enumerate(kinds[1:], start=1):
+        mixed = F.when(F.col("num_interactions") % len(kinds) == number, kind).otherwise(mixed)
+    return judge.session_scores(judged.withColumn("ai_response", mixed), _at(AS_OF))
+
+
+def _events_of_work_set(i: Inputs) -> DataFrame:
+    return worksets.events_of(i.events.select(*_EVENT_KEYS), _due_sessions(i))
+
+
+def _conversation_replay_short(i: Inputs) -> DataFrame:
+    turns = adapter.conversation_events(i.spark, i.sf_dir)
+    return replay.session_replay(turns, keep=1, budget=SHORT_REPLAY)
+
+
 def _replay_lines(i: Inputs) -> DataFrame:
     return replay.replay_lines(i.events).select("session_id", "part", "line")
 
@@ -270,9 +307,13 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "interaction_compressed": lambda i: replay.compressed_interactions(i.events),
     "replay_lines": _replay_lines,
     "session_replay": lambda i: replay.session_replay(i.events),
+    "session_replay_short": lambda i: replay.session_replay(i.events, budget=SHORT_REPLAY),
+    "conversation_replay_short": _conversation_replay_short,
     "conversation_replay": _conversation_replay,
     "judge_prompt": lambda i: i.prompted.select("session_id", "full_prompt"),
     "judge_parse": _scores,
+    "judge_parse_mixed": _judge_parse_mixed,
+    "events_of_work_set": _events_of_work_set,
     "upsert_merge": _upsert_merge,
     "upsert_composite": _upsert_composite,
     "delete_keys": _delete_keys,

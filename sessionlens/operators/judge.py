@@ -134,6 +134,8 @@ def session_scores(judged: DataFrame, as_of=None) -> DataFrame:
     A left-out session has no gold row and is judged again by the next run.
     """
     graded = judged.withColumn("judgment", parse_judgment(F.col("ai_response")))
+    scored_at = as_column(as_of)
+    first = F.col("first_scored_at") if "first_scored_at" in judged.columns else F.lit(None)
     return graded.select(
         "session_id",
         "user_id",
@@ -147,5 +149,7 @@ def session_scores(judged: DataFrame, as_of=None) -> DataFrame:
         "engagement_score",
         "composite_score",
         *[F.col("judgment").getField(f.name).alias(f"llm_{f.name}") for f in JUDGMENT],
-        as_column(as_of).alias("scored_at"),
+        scored_at.alias("scored_at"),
+        F.col("session_end").alias("scored_session_end"),
+        F.coalesce(first.cast("timestamp"), scored_at).alias("first_scored_at"),
     ).filter(F.col("llm_overall_score").isNotNull())

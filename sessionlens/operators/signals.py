@@ -141,14 +141,11 @@ def friction_score(
     weights: dict[str, float] | None = None,
 ) -> Column:
     """Weighted rates on a scale of 0 to 100; NULL, never 0, without any signal."""
-    weights = weights or v.FRICTION_WEIGHTS
-    zero = F.lit(0.0)
-    raw = F.lit(100.0) * (
-        F.lit(weights["reject"]) * F.coalesce(reject_rate, zero)
-        + F.lit(weights["abort"]) * F.coalesce(abort_rate, zero)
-        + F.lit(weights["correction"]) * F.coalesce(correction_intensity, zero)
-    )
-    return F.when(signal_strength, capped(floored(raw), 100.0))
+    rates = {"reject": reject_rate, "abort": abort_rate, "correction": correction_intensity}
+    raw = F.lit(0.0)
+    for name, weight in (weights or v.FRICTION_WEIGHTS).items():
+        raw += F.lit(weight) * F.coalesce(rates[name], F.lit(0.0))
+    return F.when(signal_strength, capped(floored(F.lit(100.0) * raw), 100.0))
 
 
 def session_human_signals(

@@ -1,8 +1,9 @@
 """Spans -> one summary row per session.
 
-All five span classes are rolled up by conditional aggregates over one scan and
-one exchange by session; every aggregate combines on the map side, so a session
-with most of the spans costs no more at the reducer than any other.
+The counts and sums of all five span classes are conditional aggregates over one scan
+and one exchange by session, combined in hash maps on the map side, so a session with
+most of the spans costs no more at the reducer than any other. The attributes of the
+first interaction come from a second, much smaller aggregation over interactions.
 """
 
 from __future__ import annotations
@@ -75,7 +76,6 @@ def _spans(traces: DataFrame, *names: str) -> DataFrame:
 
 def _interaction_aggregates() -> list[Column]:
     return [
-        F.min("first_span").alias("first_span"),
         count_when(_is(v.SPAN_INTERACTION)).alias("num_interactions"),
         F.min("start_ts").alias("session_start"),
         F.max("end_ts").alias("session_end"),
@@ -119,15 +119,21 @@ def _roll_up(traces: DataFrame, span: str, aggregates: list[Column]) -> DataFram
     return _spans(traces, span).groupBy("session_id").agg(*aggregates)
 
 
-def _unpack_first(frame: DataFrame) -> DataFrame:
-    return frame.withColumns(
-        {field: F.col("first_span").getField(field) for field in _FIRST_FIELDS}
-    ).drop("first_span")
+def _with_first_attributes(rolled: DataFrame, traces: DataFrame) -> DataFrame:
+    """`rolled` with the attributes of each session's earliest interaction.
+
+    The least of structs with texts needs sorted input, so it is taken from the
+    interaction spans alone; all other aggregates then combine in hash maps.
+    """
+    firsts = _roll_up(traces, v.SPAN_INTERACTION, [F.min("first_span").alias("first_span")])
+    fields = [F.col("first_span").getField(field).alias(field) for field in _FIRST_FIELDS]
+    return rolled.join(firsts.select("session_id", *fields), "session_id", "left")
 
 
 def interaction_rollup(traces: DataFrame) -> DataFrame:
     """Count, time bounds and descriptive attributes of the interaction spans."""
-    return _unpack_first(_roll_up(traces, v.SPAN_INTERACTION, _interaction_aggregates()))
+    rolled = _roll_up(traces, v.SPAN_INTERACTION, _interaction_aggregates())
+    return _with_first_attributes(rolled, traces)
 
 
 def llm_rollup(traces: DataFrame) -> DataFrame:
@@ -191,7 +197,7 @@ def span_summary(traces: DataFrame) -> DataFrame:
         )
         .filter(F.col("num_interactions") > 0)
     )
-    return with_session_rates(_unpack_first(rolled)).select(
+    return with_session_rates(_with_first_attributes(rolled, traces)).select(
         "session_id",
         "user_id",
         "session_start",

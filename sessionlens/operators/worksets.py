@@ -5,44 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Session ids are short: this many of them stay far below a broadcast's limits.
-BROADCAST_SESSIONS = 100_000
-_SALTS = 64
-
-
 def unscored_sessions(completed: DataFrame, scored: DataFrame) -> DataFrame:
     """Completed sessions without a score: a score is written once and stays."""
     return completed.join(scored.select("session_id"), "session_id", "left_anti")
 
 
 def due_sessions(completed: DataFrame, scored: DataFrame, grace: str) -> DataFrame:
-    """Unscored sessions, and those that went on within `grace` after their score."""
-    times = scored.groupBy("session_id").agg(F.max("scored_at").alias("last_score"))
-    resumed = (F.col("session_end") > F.col("last_score")) & (
-        F.col("session_end") <= F.col("last_score") + F.expr(grace)
+    """Unscored sessions, and those that went on after what was scored of them.
+
+    A session may be scored again while its end lies within `grace` after its first
+    score, and only if it ends later than the `scored_session_end` of its last score;
+    so an event that arrives late counts even if it happened before the score.
+    Returned with `first_scored_at`, NULL for a session without a score.
+    """
+    times = scored.groupBy("session_id").agg(
+        F.min("first_scored_at").alias("first_scored_at"),
+        F.max("scored_session_end").alias("scored_session_end"),
+    )
+    resumed = (F.col("session_end") > F.col("scored_session_end")) & (
+        F.col("session_end") <= F.col("first_scored_at") + F.expr(grace)
     )
     return (
         completed.join(times, "session_id", "left")
-        .filter(F.col("last_score").isNull() | resumed)
-        .drop("last_score")
+        .filter(F.col("first_scored_at").isNull() | resumed)
+        .drop("scored_session_end")
     )
 
 
-def events_of(events: DataFrame, sessions: DataFrame, num_sessions: int | None = None) -> DataFrame:
+def events_of(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """Events whose session is in `sessions`.
 
-    The session ids are broadcast only if the caller has counted them and they
-    are few. Otherwise both sides meet by (session, salt): a session with many
-    events is spread over the salts, and the ids are repeated for each.
+    Spark chooses how to join from the sizes it measures, and splits the partition of a
+    session with very many events, as the other side has one row per session.
     """
-    keys = sessions.select("session_id").distinct()
-    if num_sessions is not None and num_sessions <= BROADCAST_SESSIONS:
-        return events.join(F.broadcast(keys), "session_id", "left_semi")
-    salt = F.pmod(F.xxhash64("event_ts", "event_type", "detail_name"), F.lit(_SALTS))
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
-    salted = keys.withColumn("salt", F.explode(salts))
-    return (
-        events.withColumn("salt", salt)
-        .join(salted, ["session_id", "salt"], "left_semi")
-        .drop("salt")
-    )
+    return events.join(sessions.select("session_id").distinct(), "session_id", "left_semi")

@@ -35,22 +35,22 @@ def score_human_signals(
     events = spark.table(f"{silver_schema}.{v.SILVER_EVENTS}")
     metrics = spark.table(f"{silver_schema}.{v.SILVER_METRICS}")
 
-    counts = signals.signal_counts(events, window_s)
-    by_session = tables.materialize(
-        signals.session_human_signals(sessions, counts, metrics, as_of)
-    )
-    by_tool = tables.materialize(signals.signals_by_tool(events, by_session, metrics, as_of))
-
     tables.ensure_schema(spark, gold_schema)
     session_table = f"{gold_schema}.{v.GOLD_SIGNALS}"
     tool_table = f"{gold_schema}.{v.GOLD_SIGNALS_BY_TOOL}"
     tables.ensure_table(spark, session_table, schemas.SESSION_HUMAN_SIGNALS)
     tables.ensure_table(spark, tool_table, schemas.SESSION_HUMAN_SIGNALS_BY_TOOL)
-    tables.upsert(by_session, session_table, ["session_id"])
-    # A tool that a session no longer uses must lose its row, so all rows of the
-    # recomputed sessions are exchanged, not only those that came back.
-    changed = by_session.select("session_id")
-    tables.replace(by_tool, tool_table, ["session_id"], touched=changed)
-    count = by_session.count()
+    with tables.Staging(spark, gold_schema) as staging:
+        counts = signals.signal_counts(events, window_s)
+        by_session = staging.keep(
+            signals.session_human_signals(sessions, counts, metrics, as_of)
+        )
+        by_tool = staging.keep(signals.signals_by_tool(events, by_session, metrics, as_of))
+        tables.upsert(by_session, session_table, ["session_id"])
+        # A tool that a session no longer uses must lose its row, so all rows of the
+        # recomputed sessions are exchanged, not only those that came back.
+        changed = by_session.select("session_id")
+        tables.replace(by_tool, tool_table, ["session_id"], touched=changed)
+        count = by_session.count()
     logger.info("wrote signals of %d sessions", count)
     return count

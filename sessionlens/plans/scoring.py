@@ -64,29 +64,26 @@ def score_sessions(
             due = worksets.due_sessions(completed, scored, grace)
     else:
         due = completed
-    due = tables.materialize(due)
-    count = due.count()
-    if count == 0:
-        logger.info("no sessions to score")
-        return 0
-
-    timeline = spark.table(f"{silver_schema}.{v.SILVER_EVENTS}").select(*REPLAY_COLUMNS)
-    events = worksets.events_of(timeline, due, count)
-    if count > worksets.BROADCAST_SESSIONS:
-        # Finding the events took a shuffle, and they are read three times.
-        events = tables.materialize(events)
-    prompted = prompted_sessions(due, events, keep_interactions, replay_char_budget, subject)
-    # A judge is asked once per session: its answers are stored before the
-    # parser and the filter, which would otherwise each evaluate it.
-    judged = tables.materialize(judge(prompted))
-    gold = session_scores(judged, as_of)
-
     tables.ensure_schema(spark, gold_schema)
-    tables.ensure_table(spark, scores_table, schemas.SESSION_SCORES)
-    if grace is None:
-        tables.append(gold, scores_table)
-    else:
-        tables.upsert(gold, scores_table, ["session_id"])
-    written = gold.count()
+    with tables.Staging(spark, gold_schema) as staging:
+        due = staging.keep(due)
+        count = due.count()
+        if count == 0:
+            logger.info("no sessions to score")
+            return 0
+        timeline = spark.table(f"{silver_schema}.{v.SILVER_EVENTS}").select(*REPLAY_COLUMNS)
+        # Finding the events may take a shuffle, and they are read three times.
+        events = staging.keep(worksets.events_of(timeline, due))
+        prompted = prompted_sessions(due, events, keep_interactions, replay_char_budget, subject)
+        # A judge is asked once per session: its answers are stored before the
+        # parser and the filter, which would otherwise each evaluate it.
+        judged = staging.keep(judge(prompted))
+        gold = session_scores(judged, as_of)
+        tables.ensure_table(spark, scores_table, schemas.SESSION_SCORES)
+        if grace is None:
+            tables.append(gold, scores_table)
+        else:
+            tables.upsert(gold, scores_table, ["session_id"])
+        written = gold.count()
     logger.info("scored %d of %d sessions", written, count)
     return written

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionlens import vocabulary as v
+from sessionlens.operators import changes, timeline, worksets
 from sessionlens.operators import metrics as metric_operators
 from sessionlens.operators import summary as summary_operators
-from sessionlens.operators import timeline
 from sessionlens.sinks import tables
 from sessionlens.sources import bronze, schemas
 
 _KEY = ["session_id"]
+#: Partition column of the timeline table.
+EVENT_DAY = "event_day"
 
 
 def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> None:
@@ -24,35 +27,60 @@ def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> N
     tables.ensure_schema(spark, silver_schema)
 
     metrics_table = f"{silver_schema}.{v.SILVER_METRICS}"
-    by_session = tables.materialize(metric_operators.session_metrics(raw.metrics))
-    tables.ensure_table(spark, metrics_table, schemas.SESSION_METRICS)
-    tables.upsert(by_session, metrics_table, _KEY)
-
     summary_table = f"{silver_schema}.{v.SILVER_SUMMARY}"
-    summary = tables.materialize(summary_operators.session_summary(raw.traces, by_session))
+    tables.ensure_table(spark, metrics_table, schemas.SESSION_METRICS)
     tables.ensure_table(spark, summary_table, schemas.SESSION_SUMMARY)
-    tables.upsert(summary, summary_table, _KEY)
+    with tables.Staging(spark, silver_schema) as staging:
+        by_session = staging.keep(metric_operators.session_metrics(raw.metrics))
+        tables.upsert(by_session, metrics_table, _KEY)
+        summary = staging.keep(summary_operators.session_summary(raw.traces, by_session))
+        tables.upsert(summary, summary_table, _KEY)
 
     events_table = f"{silver_schema}.{v.SILVER_EVENTS}"
     write_timeline(raw, events_table)
 
 
+def by_day(events: DataFrame) -> DataFrame:
+    """Timeline rows with their day, laid out for a table partitioned by it.
+
+    Rows of a day and session lie together, so a file holds few sessions and a change
+    of some sessions rewrites only the days in which they have events.
+    """
+    dated = events.withColumn(EVENT_DAY, F.to_date("event_ts"))
+    return dated.repartitionByRange(EVENT_DAY, "session_id").sortWithinPartitions(
+        EVENT_DAY, "session_id", "event_ts"
+    )
+
+
 def write_timeline(raw: bronze.Bronze, events_table: str) -> None:
     """Replace the timeline of every session found in the logs or traces.
 
-    The raw data is read once: the first timeline becomes the table itself, later
-    ones are staged, as both their session ids and their rows are needed. Rows are
-    sorted by session in each file, so that scans for few sessions skip most.
+    The first timeline becomes the table itself, partitioned by day; later ones
+    rewrite the days that their sessions touch.
     """
     spark = raw.logs.sparkSession
-    events = timeline.session_events(raw.traces, raw.logs).sortWithinPartitions(
-        "session_id", "event_ts"
-    )
+    events = by_day(timeline.session_events(raw.traces, raw.logs))
+    tables.recover(spark, events_table)
+    if tables.exists(spark, events_table):
+        tables.replace(events, events_table, _KEY)
+    else:
+        tables.publish(events, events_table, partition_by=[EVENT_DAY])
+
+
+def merge_events(arrived: DataFrame, events_table: str) -> None:
+    """Bring newly arrived timeline rows into the table, whole session by session.
+
+    A row that equals a stored one in every column is a repeated delivery. So the
+    result does not depend on how rows are split into batches, on their order, on
+    how late they come, or on whether a batch is given twice.
+    """
+    spark = arrived.sparkSession
     tables.recover(spark, events_table)
     if not tables.exists(spark, events_table):
-        tables.publish(events, events_table)
+        tables.publish(by_day(arrived.distinct()), events_table, partition_by=[EVENT_DAY])
         return
-    incoming = f"{events_table}__incoming"
-    tables.publish(events, incoming)
-    tables.replace(spark.table(incoming), events_table, _KEY)
-    spark.sql(f"DROP TABLE {incoming}")
+    with tables.Staging(spark, events_table.rpartition(".")[0] or "default") as staging:
+        new = staging.keep(arrived)
+        stored = worksets.events_of(spark.table(events_table), new).drop(EVENT_DAY)
+        both = changes.append(stored, new).distinct()
+        tables.replace(by_day(both), events_table, _KEY)

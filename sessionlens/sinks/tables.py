@@ -7,7 +7,11 @@ and a failed run never see a half-written table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,19 +54,44 @@ def has_row_level_operations(spark: SparkSession, name: str) -> bool:
     return table_format(spark, name) in ROW_LEVEL_FORMATS
 
 
-def materialize(frame: DataFrame) -> DataFrame:
-    """Compute `frame` once and read it back from reliable shared storage.
+class Staging:
+    """Intermediate results as Parquet tables of a schema, dropped at the end.
 
-    Uses the cluster's `spark.checkpoint.dir`. Only where that is unset, the
-    folder lies in the warehouse, which the executors share as well.
+    A table of the target's own schema lies where all executors can read it, and
+    keeps column pruning and statistics.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        folder = spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints")
-        context.setCheckpointDir(folder)
-    return frame.checkpoint(eager=True)
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.names = spark, schema, []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        """Compute `frame` once and read it back."""
+        name = f"{self.schema}.staged_{uuid.uuid4().hex}"
+        self.names.append(name)
+        frame.write.format(DEFAULT_FORMAT).saveAsTable(name)
+        return self.spark.table(name)
+
+    def __exit__(self, *_) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    own = {row["key"]: row["value"] for row in rows}
+    return {k: v for k, v in own.items() if not k.startswith(("spark.sql.", "transient_"))}
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _rename(spark: SparkSession, name: str, new_name: str) -> None:
@@ -78,27 +107,83 @@ def recover(spark: SparkSession, name: str) -> None:
         _rename(spark, previous, name)
 
 
-def publish(frame: DataFrame, name: str, file_format: str = DEFAULT_FORMAT) -> None:
-    """Make `frame`, which may read the table, its new contents."""
+def publish(
+    frame: DataFrame,
+    name: str,
+    file_format: str = DEFAULT_FORMAT,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Make `frame`, which may read the table, its new contents.
+
+    A table that exists keeps its format, partitioning and properties; the other
+    arguments are for a new one. The partitions of a table are overwritten in place,
+    as not every catalog moves them when a table changes its name.
+    """
+    spark = frame.sparkSession
+    if not exists(spark, name):
+        frame.write.format(file_format).partitionBy(*partition_by).saveAsTable(name)
+    elif partition_columns(spark, name):
+        with Staging(spark, _schema_of(name)) as staging:
+            contents = staging.keep(frame)
+            evolve(contents, name)
+            _overwrite(_in_order(contents, name), name, "static")
+    else:
+        _exchange(frame, name)
+
+
+def _schema_of(name: str) -> str:
+    return name.rpartition(".")[0] or "default"
+
+
+def _exchange(frame: DataFrame, name: str) -> None:
+    """Write the new contents beside the table, then exchange the names."""
     spark = frame.sparkSession
     staged, previous = f"{name}__next", f"{name}__previous"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    frame.write.format(file_format).saveAsTable(staged)
-    if exists(spark, name):
-        spark.sql(f"DROP TABLE IF EXISTS {previous}")
-        _rename(spark, name, previous)
+    frame.write.format(table_format(spark, name)).saveAsTable(staged)
+    if properties := _properties(spark, name):
+        pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ({pairs})")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    _rename(spark, name, previous)
     _rename(spark, staged, name)
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
-def append(frame: DataFrame, name: str) -> None:
-    """Add rows; columns of the table that `frame` lacks become NULL."""
+def _overwrite(frame: DataFrame, name: str, mode: str) -> None:
+    """INSERT OVERWRITE of all partitions, or of those that `frame` has (dynamic)."""
+    conf, key = frame.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, mode)
+    try:
+        frame.write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(key, before)
+
+
+def evolve(frame: DataFrame, name: str) -> None:
+    """Add the columns of `frame` that the table does not have."""
     spark = frame.sparkSession
+    known = set(spark.table(name).columns)
+    new = [f for f in frame.schema if f.name not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+
+
+def _in_order(frame: DataFrame, name: str) -> DataFrame:
+    """`frame` with the columns of the table, in its order; others become NULL."""
     columns = [
         (F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in spark.table(name).schema
+        for f in frame.sparkSession.table(name).schema
     ]
-    frame.select(*columns).write.insertInto(name)
+    return frame.select(*columns)
+
+
+def append(frame: DataFrame, name: str) -> None:
+    """Add rows; the table gains new columns, those that `frame` lacks become NULL."""
+    evolve(frame, name)
+    _in_order(frame, name).write.insertInto(name)
 
 
 def upsert(frame: DataFrame, name: str, keys: list[str]) -> None:
@@ -111,6 +196,8 @@ def upsert(frame: DataFrame, name: str, keys: list[str]) -> None:
     changes.require_unique(source, keys)
     if has_row_level_operations(spark, name):
         merge_rows(source, name, keys)
+    elif partition_columns(spark, name):
+        _replace_in_partitions(source, name, keys, None)
     else:
         publish(changes.upsert(spark.table(name), source, keys), name)
 
@@ -145,10 +232,45 @@ def replace(
         changes.with_keys(frame, keys).write.option("mergeSchema", "true").mode(
             "append"
         ).saveAsTable(name)
+    elif partition_columns(spark, name):
+        _replace_in_partitions(frame, name, keys, touched)
     else:
         publish(changes.replace_by_key(spark.table(name), frame, keys, touched), name)
 
 
+def _replace_in_partitions(
+    frame: DataFrame, name: str, keys: list[str], touched: DataFrame | None
+) -> None:
+    """Rewrite only the partitions in which touched keys have or get rows."""
+    spark, parts = frame.sparkSession, partition_columns(frame.sparkSession, name)
+    with Staging(spark, _schema_of(name)) as staging:
+        rows = staging.keep(changes.with_keys(frame, keys))
+        gone = staging.keep((rows if touched is None else touched).select(*keys).distinct())
+        evolve(rows, name)
+        target = spark.table(name)
+        held = target.join(gone, keys, "left_semi").select(*parts)
+        hit = staging.keep(held.unionByName(rows.select(*parts)).distinct())
+        inside = target.alias("t").join(hit.alias("h"), _same(parts, "t", "h"), "left_semi")
+        contents = staging.keep(
+            _in_order(changes.replace_by_key(inside, rows, keys, gone), name)
+        )
+        left = contents.select(*parts).distinct()
+        empty = hit.alias("h").join(left.alias("l"), _same(parts, "h", "l"), "left_anti")
+        _overwrite(contents, name, "dynamic")
+        # One row per partition that lost its last row.
+        for row in empty.collect():
+            pairs = ", ".join(
+                f"`{part}` = {'NULL' if row[part] is None else _quoted(str(row[part]))}"
+                for part in parts
+            )
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({pairs})")
+
+
+def _same(columns: Sequence[str], left: str, right: str) -> Column:
+    equal = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    return functools.reduce(lambda a, b: a & b, equal)
+
+
 def delete_rows(gone: DataFrame, name: str, keys: list[str]) -> None:
     """DELETE of the storage format for all rows whose keys occur in `gone`."""
     on = " AND ".join(f"t.{key} = g.{key}" for key in keys)

@@ -233,6 +233,8 @@ SESSION_SCORES = _struct(
     composite_score=DOUBLE,
     **{f"llm_{field.name}": field.dataType for field in JUDGMENT},
     scored_at=TIMESTAMP,
+    scored_session_end=TIMESTAMP,
+    first_scored_at=TIMESTAMP,
 )
 
 SESSION_HUMAN_SIGNALS = _struct(

@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionlens import vocabulary as v
 from sessionlens.functions.arithmetic import count_when
 from sessionlens.operators import timeline
+from sessionlens.plans.silver import merge_events
 from sessionlens.sources import schemas
 from sessionlens.sources.bronze import Bronze
 
-# What makes two deliveries of one event the same event.
-IDENTITY = (
-    "session_id",
-    "event_ts",
-    "event_type",
-    "detail_name",
-    "prompt_id",
-    "tool_use_id",
-    "content_preview",
-)
-
-
 def stream_bronze(spark: SparkSession, directory: str, files_per_trigger: int = 1000) -> Bronze:
     """Streams over the files that arrive in `<directory>/<table>`."""
 
@@ -38,16 +27,49 @@ def stream_bronze(spark: SparkSession, directory: str, files_per_trigger: int =
     )
 
 
-def stream_events(raw: Bronze, lateness: str = "2 hours") -> DataFrame:
-    """Timeline rows as they arrive; repeated deliveries within `lateness` are dropped."""
-    events = timeline.session_events(raw.traces, raw.logs)
-    return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(IDENTITY)
+def stream_events(raw: Bronze) -> DataFrame:
+    """Timeline rows as they arrive, repeated deliveries included."""
+    return timeline.session_events(raw.traces, raw.logs)
+
+
+def write_timeline(
+    events: DataFrame, table: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Keep `table` as the batch job would write it from all rows that have arrived.
+
+    Each batch replaces the sessions it touches, so no row is too late, and a batch
+    that runs again after a failure changes nothing.
+    """
+    writer = (
+        events.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, _: merge_events(batch, table))
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def _identity(events: DataFrame) -> Column:
+    """A digest of the whole row: deliveries that differ anywhere are different events."""
+    return F.sha2(F.to_json(F.struct(*events.columns)), 256)
+
+
+def unrepeated(events: DataFrame, lateness: str = "2 hours") -> DataFrame:
+    """Rows without repeated deliveries, with a watermark for stateful operators.
+
+    Rows later than `lateness` are left out here; they are in the table that
+    `write_timeline` keeps, from which the batch operators take them.
+    """
+    named = events.withColumn("identity", _identity(events))
+    marked = named.withWatermark("event_ts", lateness)
+    return marked.dropDuplicatesWithinWatermark(["identity"]).drop("identity")
 
 
 def stream_segments(events: DataFrame, gap: str = "2 hours") -> DataFrame:
     """Activity of a session between idle gaps, emitted once the gap has passed.
 
-    `events` carries a watermark, as `stream_events` sets it.
+    `events` carries a watermark, as `unrepeated` sets it.
     """
     return (
         events.groupBy("session_id", F.session_window("event_ts", gap).alias("window"))

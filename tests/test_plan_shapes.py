@@ -45,11 +45,15 @@ def test_session_metrics_scan_once_and_read_only_the_sum(spark, raw):
     assert schema == "struct<name:string,sum:struct<value:double,attributes:map<string,string>>>"
 
 
-def test_span_summary_scans_once_and_shuffles_once(spark, raw):
+def test_span_summary_sorts_interactions_only(spark, raw):
     plan = _plan(summary.span_summary(readers.from_files(spark, raw).traces))
-    assert (_count(plan, "FileScan"), _count(plan, "Exchange")) == (1, 1)
-    schema = re.search(r"ReadSchema: (.*)", plan).group(1)
-    assert "events" not in schema and "links" not in schema
+    assert (_count(plan, "FileScan"), _count(plan, "Exchange")) == (2, 2)
+    for schema in re.findall(r"ReadSchema: (.*)", plan):
+        assert "events" not in schema and "links" not in schema
+    # Only the branch that reads interactions alone aggregates sorted rows.
+    pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)
+    assert sorted("In(name" in filters for filters in pushed) == [False, True]
+    assert _count(plan, "SortAggregate") == 2 and _count(plan, "HashAggregate") == 2
 
 
 def test_timeline_scans_each_source_once_without_shuffle(spark, raw):

@@ -1,8 +1,11 @@
 """The streaming timeline gives what the batch gives on the same files."""
 
+import pytest
+
 from conftest import log, logs, metrics, point, span, traces
 from sessionlens import vocabulary as v
 from sessionlens.operators import segments, timeline
+from sessionlens.sinks import tables
 from sessionlens.streaming import timeline as streaming
 
 LOGS = [
@@ -12,6 +15,12 @@ LOGS = [
     log(v.LOG_USER_PROMPT, ts=20_000, prompt="b"),
     log(v.LOG_USER_PROMPT, "s2", ts=10, prompt="c"),
     log(v.LOG_USER_PROMPT, None, ts=10),
+    # Alike in their first 500 characters; at one instant with other costs; without time.
+    log(v.LOG_USER_PROMPT, ts=300, prompt="x" * 500 + "one"),
+    log(v.LOG_USER_PROMPT, ts=300, prompt="x" * 500 + "two"),
+    log(v.LOG_API_REQUEST, ts=400, model="m", cost_usd="0.1"),
+    log(v.LOG_API_REQUEST, ts=400, model="m", cost_usd="0.2"),
+    log(v.LOG_USER_PROMPT, ts=None, prompt="no time"),
 ]
 SPANS = [span(v.SPAN_TOOL, start=70, tool_name="Bash"), span(v.SPAN_INTERACTION)]
 
@@ -31,33 +40,43 @@ def _rows(frame):
     return sorted(str(tuple(row)) for row in frame.collect())
 
 
-def test_stream_equals_batch_and_drops_repeated_deliveries(spark, tmp_path, schema_name):
-    folder, table = _raw(spark, str(tmp_path)), f"{schema_name}_events"
-    checkpoint = f"{tmp_path}/checkpoint"
-    expected = timeline.session_events(traces(spark, SPANS), logs(spark, LOGS))
+@pytest.fixture
+def events_table(spark, schema_name):
+    tables.ensure_schema(spark, schema_name)
+    return f"{schema_name}.events"
+
+
+def test_stream_equals_batch_row_for_row(spark, tmp_path, events_table):
+    folder, checkpoint = _raw(spark, str(tmp_path)), f"{tmp_path}/checkpoint"
 
     def run():
         events = streaming.stream_events(streaming.stream_bronze(spark, folder))
-        query = streaming.write_stream(events, table, checkpoint, available_now=True)
+        query = streaming.write_timeline(events, events_table, checkpoint, available_now=True)
         query.awaitTermination()
         assert query.exception() is None
+        spark.catalog.refreshTable(events_table)  # the stream has a session of its own
+        return _rows(spark.table(events_table).drop("event_day"))
+
+    def batch(rows):
+        return _rows(timeline.session_events(traces(spark, SPANS), logs(spark, rows)))
 
-    run()
-    assert _rows(spark.table(table)) == _rows(expected)
-    # The same records again, and one new event, in files of their own.
-    later = log(v.LOG_USER_PROMPT, "s2", ts=20_500, prompt="d")
-    _write(spark, folder, [*LOGS, later])
-    run()
-    both = expected.unionByName(timeline.session_events(traces(spark, []), logs(spark, [later])))
-    assert _rows(spark.table(table)) == _rows(both)
+    assert run() == batch(LOGS)
+    # The same records again, a new event, and one that is days late.
+    newer = log(v.LOG_USER_PROMPT, "s2", ts=500_000, prompt="d")
+    late = log(v.LOG_USER_PROMPT, "s2", ts=-500_000, prompt="e")
+    _write(spark, folder, [*LOGS, newer, late])
+    assert run() == batch([*LOGS, newer, late])
+    assert tables.partition_columns(spark, events_table) == ["event_day"]
+    shown = spark.sql(f"SHOW TABLES IN {events_table.split('.')[0]}").collect()
+    assert [table.tableName for table in shown] == ["events"]
 
 
 def test_closed_segments_equal_those_of_the_batch(spark, tmp_path, schema_name):
     folder, table = _raw(spark, str(tmp_path)), f"{schema_name}_segments"
     # An event far ahead moves the watermark past the end of all other segments.
     ahead = log(v.LOG_USER_PROMPT, "ahead", ts=500_000)
-    _write(spark, folder, [ahead])
-    events = streaming.stream_events(streaming.stream_bronze(spark, folder))
+    _write(spark, folder, [ahead, LOGS[0]])
+    events = streaming.unrepeated(streaming.stream_events(streaming.stream_bronze(spark, folder)))
     query = streaming.write_stream(
         streaming.stream_segments(events), table, f"{tmp_path}/checkpoint", available_now=True
     )
@@ -68,4 +87,4 @@ def test_closed_segments_equal_those_of_the_batch(spark, tmp_path, schema_name):
     )
     assert _rows(spark.table(table).select(*columns)) == _rows(batch.select(*columns))
     closed = spark.table(table).filter("session_id = 's1'").orderBy("segment_start").first()
-    assert (closed.num_prompts, closed.num_user_aborts) == (1, 1)
+    assert (closed.num_prompts, closed.num_user_aborts) == (3, 1)
