@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sessionlens.llm import imatch, urls
+from sessionlens.llm import imatch, line_dedup, mixing, urls
 
 
 def _quoted(text: str) -> str:
@@ -113,3 +113,133 @@ SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
   {likeness("fingerprint", "edited_fingerprint")} AS near_edited,
   {likeness("fingerprint", "next_fingerprint")} AS near_next
 FROM joined"""
+
+
+def line_chunks(least_lines: int, least_chars: int) -> str:
+    marked = "coalesce(text, '')"
+    for separator in line_dedup.SEPARATORS:
+        shown = separator.replace("\n", "' || chr(10) || '")
+        marked = f"replace({marked}, '{shown}', '{shown}' || chr(1))"
+    return f"""
+WITH lines AS (
+  SELECT doc_id, text, list_filter(string_split({marked}, chr(1)), lambda x: x <> '') AS u
+  FROM documents),
+hashed AS (
+  SELECT *, list_transform(u, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM lines),
+rolled AS (
+  SELECT *, list_transform(h, lambda x, i:
+    (coalesce(h[i - 1], 0) * {line_dedup.FACTOR} + x) % {line_dedup.HASH_RANGE}) AS r
+  FROM hashed),
+ended AS (
+  SELECT *, list_filter(range(1, len(r) + 1), lambda i:
+    i = len(r) OR coalesce(r[i] < r[i - 1] AND r[i] < r[i + 1], false)) AS e
+  FROM rolled),
+chunked AS (
+  SELECT doc_id, text, len(e)::INT AS n_chunks, unnest(list_transform(e, lambda x, k: {{
+    'place': k, 'lines': x - coalesce(e[k - 1], 0),
+    'chunk': array_to_string(u[coalesce(e[k - 1], 0) + 1:x], '')}})) AS c
+  FROM ended),
+chunks AS (
+  SELECT doc_id, c.place AS place, c.chunk AS chunk,
+    c.lines >= {least_lines} AND length(c.chunk) >= {least_chars} AS counts
+  FROM chunked),
+firsts AS (SELECT chunk, min((doc_id, place)) AS first FROM chunks WHERE counts GROUP BY chunk),
+judged AS (
+  SELECT doc_id, place, c.chunk, counts AND (doc_id, place) <> first AS gone
+  FROM chunks c LEFT JOIN firsts f ON f.chunk = c.chunk AND c.counts),
+rebuilt AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone)::INT AS n_removed,
+    coalesce(string_agg(chunk, '' ORDER BY place) FILTER (WHERE NOT coalesce(gone, false)), '')
+      AS cleaned
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, len(e)::INT AS n_chunks, coalesce(n_removed, 0)::INT AS n_removed,
+  CASE WHEN n_removed > 0 THEN cleaned ELSE text END AS text
+FROM ended LEFT JOIN rebuilt USING (doc_id)"""
+
+
+def jaccard_classes(threshold: float, width: int) -> str:
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {width} + 2),
+      lambda i: array_to_string(w[i:i + {width - 1}], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b, c = x.n AND c = y.n AS same FROM common
+  JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE c >= {threshold} * (x.n + y.n - c)),
+reached(a, b) AS (
+  SELECT a, b FROM links
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+classes AS (SELECT a AS doc_id, min(b) AS least FROM reached GROUP BY a),
+counts AS (
+  SELECT a AS doc_id, count(*) AS n_links, count(*) FILTER (WHERE same) AS n_copies
+  FROM links GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(least, doc_id)) AS class_id,
+  coalesce(n_links, 0) AS n_links, coalesce(n_copies, 0) AS n_copies
+FROM documents LEFT JOIN classes USING (doc_id) LEFT JOIN counts USING (doc_id)"""
+
+
+def temperature_mix(target: mixing.Target) -> str:
+    """For a target whose budget is the number of tokens (no budget, no whole passes)."""
+
+    def place(number: str) -> str:
+        name = f"concat_ws(':', '{target.seed}', ({number})::BIGINT::VARCHAR, doc_id::VARCHAR)"
+        return f"('0x' || substr(md5({name}), 1, {mixing.PLACE_BITS // 4}))::BIGINT"
+
+    rounds = ["range_0 AS (SELECT 0.0::DOUBLE AS low, 1.0::DOUBLE AS high)"]
+    for n in range(1, mixing.ROUNDS + 1):
+        rounds.append(f"""
+grid_{n} AS (
+  SELECT low, high, low + (high - low) * k / {mixing.SECTIONS} AS a
+  FROM range_{n - 1}, range({mixing.SECTIONS + 1}) AS t(k)),
+beyond_{n} AS (
+  SELECT max(a) AS a FROM (
+    SELECT a, sum(pow(p, a)) AS z, sum(pow(p, a) * ln(pow(p, a))) AS e,
+      max(pow(p, a) / tokens) AS most
+    FROM grid_{n}, shares GROUP BY a)
+  WHERE ln(z) - e / z > {target.entropy} * ln((SELECT count(*) FROM shares))
+    OR most / z * (SELECT sum(tokens) FROM shares) > {target.max_repeats} * (1 + 1e-12)),
+range_{n} AS (
+  SELECT CASE WHEN b IS NULL THEN low WHEN b >= high THEN high ELSE b END AS low,
+    CASE WHEN b IS NULL THEN low WHEN b >= high THEN high
+      ELSE (SELECT min(a) FROM grid_{n} WHERE a > b) END AS high
+  FROM (SELECT low, high, (SELECT a FROM beyond_{n}) AS b FROM range_{n - 1}))""")
+    return f"""
+WITH tokened AS (
+  SELECT doc_id, source, coalesce(source, '') AS key,
+    CASE WHEN coalesce(text, '') = '' THEN 0
+      ELSE length(text) - length(translate(text, ' ' || chr(10), '')) + 1 END AS tokens
+  FROM documents),
+shares AS (
+  SELECT key, sum(tokens)::BIGINT AS tokens,
+    sum(tokens)::DOUBLE / (SELECT sum(tokens) FROM tokened)::DOUBLE AS p
+  FROM tokened GROUP BY key HAVING sum(tokens) > 0),
+{",".join(rounds)},
+weighed AS (SELECT key, tokens, pow(p, (SELECT high FROM range_{mixing.ROUNDS})) AS w FROM shares),
+plan AS (
+  SELECT key, tokens AS source_tokens,
+    round(w / (SELECT sum(w) FROM weighed) * (SELECT sum(tokens) FROM shares)::DOUBLE)::BIGINT AS budget
+  FROM weighed),
+placed AS (
+  SELECT t.*, source_tokens, budget, budget // source_tokens AS passes,
+    budget % source_tokens AS rest, {place("budget // source_tokens")} AS place
+  FROM tokened t JOIN plan USING (key)),
+used AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY key ORDER BY place) AS used FROM placed),
+copies AS (
+  SELECT *, unnest(range(passes + (rest > 0 AND used <= rest)::INT)) AS mix_pass FROM used)
+SELECT doc_id, source, tokens::BIGINT AS tokens, mix_pass::INT AS mix_pass,
+  least(floor((mix_pass + {place("mix_pass")} / {float(2**mixing.PLACE_BITS)}::DOUBLE)
+    * source_tokens / budget * {target.out_blocks}), {target.out_blocks - 1})::INT AS mix_block
+FROM copies"""

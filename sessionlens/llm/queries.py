@@ -131,8 +131,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_chunks": oracles.line_chunks(line_dedup.LEAST_LINES, line_dedup.LEAST_CHARS),
         "op2_imatch_fingerprints": oracles.imatch_fingerprints(
             imatch.LEAST_SHARE, imatch.MOST_SHARE
         ),
+        "op8_temperature_mix": oracles.temperature_mix(MIX_TARGET),
+        "op10_jaccard_classes": oracles.jaccard_classes(
+            jaccard_join.THRESHOLD, jaccard_join.WIDTH
+        ),
         "op5_url_vocabulary": oracles.url_rules(URL_RULES, urls.DEFAULT_VOCABULARY),
     }
