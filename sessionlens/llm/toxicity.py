@@ -17,6 +17,7 @@ sample holds labels of one value only, every score is the share of toxic labels.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Callable
@@ -60,7 +61,8 @@ SECOND_PERSON = (
     "you", "your", "yours", "yourself", "du", "dich", "dir", "dein", "deine", "euch", "tu",
     "toi", "ton", "votre", "vous", "tú", "ti", "usted", "ustedes", "vosotros",
 )
-_UNLEET = str.maketrans("013457@$!|", "oleastasil")
+_UNLEET = str.maketrans("013457@$", "oieastas")
+_MARK_FOR_I = re.compile(r"[!|](?=[^\W\d_])")
 
 FEATURES = (
     "hits", "weight", "distinct", "evidence", "dense", "insults", "near_you", "you", "capitals",
@@ -230,7 +232,8 @@ def features(texts: list[str], lexicon: Lexicon) -> np.ndarray:
         hidden = 0
         if inside:
             plain = sum(f[1] != "you" for f in found)
-            hidden = sum(f[1] != "you" for f in lexicon.find(lower.translate(_UNLEET))) - plain
+            shown = _MARK_FOR_I.sub("i", lower).translate(_UNLEET)
+            hidden = sum(f[1] != "you" for f in lexicon.find(shown)) - plain
         scale, chars = words + 10.0, chars + 10.0
         rows.append(
             _found_features(found, words)
