@@ -9,11 +9,11 @@ when lines are inserted before them; between two boundaries lie two lines at lea
 
 A chunk of `LEAST_LINES` lines and `LEAST_CHARS` characters or more that occurs several
 times, in one or in different documents, stays where it comes first in the order of
-(doc_id, position) and is removed elsewhere. The hash of a chunk only finds candidates:
-what is removed has been compared, byte by byte, with the first occurrence.
+(doc_id, position) and is removed elsewhere. Chunks are counted by their bytes; a hash
+only leads copies to the first occurrence, with which they are compared byte by byte.
 
-Whole texts are shuffled once, by document. Chunks with their texts are combined per task
-before they are shuffled by hash; copies meet the first occurrence in a join whose other
+Whole texts are shuffled once, by document. Chunks are combined per task before they are
+shuffled; copies meet the first occurrence in a join whose other
 side has one row per hash, so that a frequent chunk can be split over tasks.
 
 Defined cases: a null or empty text has no chunks and stays as it is; rows that share a
@@ -110,21 +110,25 @@ def deduplicate(
         "doc_id",
         F.col("c.place").alias("place"),
         F.col("c.chunk.text").alias("chunk"),
-        F.md5("c.chunk.text").alias("hash"),
     )
-    at = F.struct("doc_id", "place")
     firsts = (
-        chunks.groupBy("hash")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(at.alias("at"), F.col("chunk").alias("chunk"))).alias("first"),
-        )
+        chunks.groupBy("chunk")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("first"))
         .filter(F.col("n") > 1)
-        .select("hash", "first.at", F.col("first.chunk").alias("first_chunk"))
+        .select(
+            F.xxhash64("chunk").alias("hash"),
+            F.col("first.doc_id").alias("first_id"),
+            F.col("first.place").alias("first_place"),
+            F.col("chunk").alias("first_chunk"),
+        )
     )
     # A copy is told by its place and the text that it must have to be removed.
-    copies = chunks.select("doc_id", "place", "hash").join(firsts, "hash")
-    copies = copies.filter(~F.struct("doc_id", "place").eqNullSafe(F.col("at")))
+    # The hash spares the join the texts of one side; chunks that only share the hash
+    # differ in the bytes and stay.
+    hashed = chunks.select("doc_id", "place", F.xxhash64("chunk").alias("hash"))
+    copies = hashed.join(firsts, "hash")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id"))
+    copies = copies.filter(~is_first | (F.col("place") != F.col("first_place")))
     removed = copies.groupBy("doc_id").agg(
         F.collect_set(_entry(F.col("place"), F.col("first_chunk"))).alias("_removed")
     )
