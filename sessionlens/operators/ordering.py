@@ -46,7 +46,8 @@ def located(events: DataFrame, bucket_s: int) -> DataFrame:
 def bucket_offsets(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
     """Per (session, bucket): events and prompts before it, and session totals.
 
-    `has_prefix` says that the session starts with something else than a prompt.
+    `has_prefix` says that the session starts with something else than a prompt;
+    `bucket_events` and `bucket_prompts` are the bucket's own counts.
     Reads three columns of the events and combines on the map side.
     """
     prompt = F.col("event_type") == v.USER_PROMPT
@@ -76,6 +77,8 @@ def bucket_offsets(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
         "b",
         F.coalesce(F.sum("events").over(before), F.lit(0)).alias("events_before"),
         F.coalesce(F.sum("prompts").over(before), F.lit(0)).alias("prompts_before"),
+        F.col("events").alias("bucket_events"),
+        F.col("prompts").alias("bucket_prompts"),
         has_prefix.cast("long").alias("has_prefix"),
         (F.sum("prompts").over(session) + has_prefix.cast("long")).alias("num_interactions"),
     )

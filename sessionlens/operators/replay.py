@@ -83,7 +83,20 @@ def _is_prompt() -> Column:
     return F.coalesce(F.col("event_type") == v.USER_PROMPT, F.lit(False))
 
 
-def _place_in_session(slots: DataFrame, events: DataFrame, bucket_s: int) -> DataFrame:
+def _with_tail_end(offsets: DataFrame, keep: int) -> DataFrame:
+    """`tail_end`: events up to the end of the bucket in which the tail begins.
+
+    The tail begins before it, so no line `max_lines` or more behind it can show.
+    """
+    last_index = F.col("has_prefix") + F.col("prompts_before") + F.col("bucket_prompts") - 1
+    reached = last_index >= F.col("num_interactions") - keep
+    end = F.when(reached, F.col("events_before") + F.col("bucket_events"))
+    return offsets.withColumn("tail_end", F.min(end).over(Window.partitionBy("session_id")))
+
+
+def _place_in_session(
+    slots: DataFrame, events: DataFrame, bucket_s: int, keep: int | None = None
+) -> DataFrame:
     """Number the interactions of combined events.
 
     `first_index` and `last_index` are the interactions an event and its copies
@@ -95,6 +108,9 @@ def _place_in_session(slots: DataFrame, events: DataFrame, bucket_s: int) -> Dat
         .orderBy("t", "event_type", *_DETAILS)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    offsets = bucket_offsets(events, bucket_s)
+    if keep is not None:
+        offsets = _with_tail_end(offsets, keep)
     prompts = F.when(_is_prompt(), F.col("n")).otherwise(F.lit(0))
     begun = F.col("has_prefix") + F.col("prompts_before") + F.col("prompts_in_bucket")
     return (
@@ -104,7 +120,7 @@ def _place_in_session(slots: DataFrame, events: DataFrame, bucket_s: int) -> Dat
                 "events_in_bucket": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
             }
         )
-        .join(bucket_offsets(events, bucket_s), ["session_id", "b"])
+        .join(offsets.drop("bucket_events", "bucket_prompts"), ["session_id", "b"])
         .withColumns(
             {
                 "first_index": F.when(_is_prompt(), begun).otherwise(begun - 1),
@@ -264,7 +280,8 @@ def _parts(keep: int, max_lines: int) -> Column:
         F.greatest(first, F.lit(keep)),
         F.when(~whole, F.least(last, tail_index - 1, F.lit(keep + max_lines - 1))).otherwise(-1),
     )
-    tail = span(_TAIL, before + before_tail, before + n - 1)
+    tail_limit = F.col("tail_end") + (max_lines - 1)
+    tail = span(_TAIL, before + before_tail, F.least(before + n - 1, tail_limit))
     return F.array(head, middle, tail)
 
 
@@ -278,13 +295,15 @@ def replay_lines(
 
     `part` is 0 for the head, 1 for compressed interactions, 2 for the tail. Only
     lines that begin inside the budget are kept. As every line has a least
-    length, none after the first `lines_within(budget)` can: this bound holds
-    back the rest of a long session before it is shuffled, and drops no text.
+    length, none after the first `lines_within(budget)` of a part can: this bound,
+    which does not rely on the optimizer, holds back the rest of a long session
+    before it is shuffled, and drops no text.
     """
     if keep < 1:
         raise ValueError("keep must be at least 1")
     max_lines = lines_within(budget)
-    placed = _place_in_session(_combined(events, bucket_s, printed_only=True), events, bucket_s)
+    combined = _combined(events, bucket_s, printed_only=True)
+    placed = _place_in_session(combined, events, bucket_s, keep)
     event_ts = F.when(F.col("t") > NO_TIME, F.timestamp_micros("t"))
     taking_part = (
         _shares(placed)

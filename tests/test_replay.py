@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import replay_model as model
 from conftest import at, event, events
@@ -154,3 +155,20 @@ def test_sessions_without_events_have_no_replay(spark):
     assert _replays(spark, []) == {}
     with pytest.raises(ValueError):
         replay.session_replay(events(spark, []), keep=0)
+
+
+def test_a_long_tail_is_held_back_before_the_shuffle(spark):
+    """Only about as many tail lines as fit are rendered, whatever the budget."""
+    rows = [event(v.USER_PROMPT, 100 * i) for i in range(5)]
+    rows += [event(v.LLM_CALL, 400 + i, detail_name=f"n{i}") for i in range(3000)]
+    table = events(spark, rows)
+    placed = replay._place_in_session(
+        replay._combined(table, 60, printed_only=True), table, 60, keep=2
+    )
+    lines = replay.lines_within(2000)
+    parts = placed.select("*", F.inline(replay._parts(2, lines))).filter("low <= high")
+    tail = parts.filter("part = 2").agg(F.sum(F.col("high") - F.col("low") + 1)).first()[0]
+    assert tail <= 60 + 100 + lines
+    for budget in (2000, 60_000):
+        text = replay.session_replay(table, budget=budget).first().replay_text
+        assert text == replay.session_replay(table, budget=10**6).first().replay_text[:budget]
