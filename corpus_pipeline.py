@@ -35,6 +35,11 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.deduplicate(docs)
+    # A filter on computed columns would be moved below them and repeat the whole nested
+    # computation many times; it is not moved below a generator.
+    computed = ("text", "n_removed")
+    others = [c for c in cleaned.columns if c not in computed]
+    cleaned = cleaned.select(*others, F.inline_outer(F.array(F.struct(*computed))))
     emptied = (F.col("n_removed") > 0) & (F.col("text") == "")
     kept = cleaned.filter(~emptied)
     if "n_chars" in docs.columns:
