@@ -9,15 +9,17 @@ when lines are inserted before them; between two boundaries lie two lines at lea
 
 A chunk of `LEAST_LINES` lines and `LEAST_CHARS` characters or more that occurs several
 times, in one or in different documents, stays where it comes first in the order of
-(doc_id, position) and is removed elsewhere. Chunks are counted by their bytes; a hash
-only leads copies to the first occurrence, with which they are compared byte by byte.
+(doc_id, position) and is removed elsewhere. Each document counts its own repeats; the
+others are counted by their bytes, once for each document. A hash only leads copies to the
+bytes of the first one, with which they are compared.
 
 Whole texts are shuffled once, by document. Chunks are combined per task before they are
 shuffled; copies meet the first occurrence in a join whose other
 side has one row per hash, so that a frequent chunk can be split over tasks.
 
 Defined cases: a null or empty text has no chunks and stays as it is; rows that share a
-doc_id are one document, whose first occurrences stay in all of them.
+doc_id are one document, whose first occurrences stay in all of them; a null doc_id is
+one as well, and comes last.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ MARK = "\x01"
 HASH_RANGE = 2**32
 FACTOR = 31
 _DIGITS = 9
+#: Stands before chunks that may not repeat, in place of a number.
+_COMMON = "-" * _DIGITS
 
 
 def lines(text: Column) -> Column:
@@ -88,56 +92,50 @@ def _long_enough(chunk: Column, least_lines: int, least_chars: int) -> Column:
     return (chunk["lines"] >= least_lines) & (F.length(chunk["text"]) >= least_chars)
 
 
-def _entry(place: Column, text: Column) -> Column:
-    """Place and text of a chunk as one string; a chunk of a document has a place of its own."""
-    return F.concat(F.lpad(place.cast("string"), _DIGITS, "0"), text)
+def _entry(place: Column, chunk: Column, repeats: Column) -> Column:
+    """A chunk as a string; those that may not repeat are equal where their texts are."""
+    name = F.lpad(place.cast("string"), _DIGITS, "0")
+    return F.concat(F.when(repeats, F.lit(_COMMON)).otherwise(name), chunk["text"])
 
 
 def deduplicate(
     docs: DataFrame, least_lines: int = LEAST_LINES, least_chars: int = LEAST_CHARS
 ) -> DataFrame:
     """`docs` with repeated chunks taken out of `text`, and n_chunks, n_removed."""
-    placed = _chunked(docs.select("doc_id", "text")).select(
+
+    def long_enough(chunk: Column) -> Column:
+        return _long_enough(chunk, least_lines, least_chars)
+
+    distinct = _chunked(docs.select("doc_id", "text")).select(
         "doc_id",
-        F.filter(
-            F.transform("_chunks", lambda c, i: F.struct(i.alias("place"), c.alias("chunk"))),
-            lambda x: _long_enough(x["chunk"], least_lines, least_chars),
+        F.array_distinct(
+            F.transform(F.filter("_chunks", long_enough), lambda c: c["text"])
         ).alias("found"),
     )
     # An inner explode would add a filter that computes the chunks once more.
-    exploded = placed.select("doc_id", F.explode_outer("found").alias("c"))
-    chunks = exploded.filter(F.col("c").isNotNull()).select(
-        "doc_id",
-        F.col("c.place").alias("place"),
-        F.col("c.chunk.text").alias("chunk"),
-    )
+    exploded = distinct.select("doc_id", F.explode_outer("found").alias("chunk"))
+    chunks = exploded.filter(F.col("chunk").isNotNull())
     firsts = (
         chunks.groupBy("chunk")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
         .filter(F.col("n") > 1)
         .select(
-            F.xxhash64("chunk").alias("hash"),
-            F.col("first.doc_id").alias("first_id"),
-            F.col("first.place").alias("first_place"),
-            F.col("chunk").alias("first_chunk"),
+            F.xxhash64("chunk").alias("hash"), "first_id", F.col("chunk").alias("first_chunk")
         )
     )
-    # A copy is told by its place and the text that it must have to be removed.
     # The hash spares the join the texts of one side; chunks that only share the hash
     # differ in the bytes and stay.
-    hashed = chunks.select("doc_id", "place", F.xxhash64("chunk").alias("hash"))
+    hashed = chunks.select("doc_id", F.xxhash64("chunk").alias("hash"))
     copies = hashed.join(firsts, "hash")
-    is_first = F.col("doc_id").eqNullSafe(F.col("first_id"))
-    copies = copies.filter(~is_first | (F.col("place") != F.col("first_place")))
-    removed = copies.groupBy("doc_id").agg(
-        F.collect_set(_entry(F.col("place"), F.col("first_chunk"))).alias("_removed")
+    copies = copies.filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
+    removed = copies.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.collect_set(F.concat(F.lit(_COMMON), "first_chunk")).alias("_removed")
     )
-    removed = removed.withColumnRenamed("doc_id", "_id")
     joined = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    # Only documents with candidates are cut into chunks again.
     entries = _chunked(joined.withColumn("_all", F.col("text"))).withColumn(
-        "_entries", F.transform("_chunks", lambda c, i: _entry(i, c["text"]))
+        "_entries", F.transform("_chunks", lambda c, i: _entry(i, c, long_enough(c)))
     )
+    # The difference of arrays also leaves out repeats within the document.
     kept = entries.withColumn(
         "_kept",
         F.array_except("_entries", F.coalesce("_removed", F.array().cast("array<string>"))),
