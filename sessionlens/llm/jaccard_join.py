@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sessionlens.llm.components import components
 from sessionlens.llm.staging import stage
-from sessionlens.llm.texts import mixed, text_slices, with_batch_columns
+from sessionlens.llm.texts import mixed, set_aside, text_slices, with_batch_columns
 from sessionlens.llm.words import shingle_sets
 
 THRESHOLD, WIDTH = 0.8, 5
@@ -305,5 +305,6 @@ def one_of_each_class(docs: DataFrame) -> DataFrame:
     """The documents that stand for their class; of repeated doc_ids one row stays."""
     kept = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    docs, back = set_aside(docs, ["kept_id"])
     joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return joined.dropDuplicates(["doc_id"])
+    return joined.dropDuplicates(["doc_id"]).withColumnsRenamed(back)

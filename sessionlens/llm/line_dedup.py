@@ -27,12 +27,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlens.llm.texts import set_aside
+
 LEAST_LINES, LEAST_CHARS = 2, 40
 SEPARATORS = (". ", ", ", "\n")
 MARK = "\x01"
 HASH_RANGE = 2**32
 FACTOR = 31
 _DIGITS = 9
+#: Columns that `deduplicate` adds for a while.
+_OWN = (
+    "_id", "_removed", "_all", "_lines", "_hashes", "_rolled", "_ends", "_chunks", "_entries",
+    "_kept",
+)
 #: Stands before chunks that may not repeat, in place of a number.
 _COMMON = "-" * _DIGITS
 
@@ -131,6 +138,7 @@ def deduplicate(
     removed = copies.groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_set(F.concat(F.lit(_COMMON), "first_chunk")).alias("_removed")
     )
+    docs, back = set_aside(docs, _OWN)
     joined = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     entries = _chunked(joined.withColumn("_all", F.col("text"))).withColumn(
         "_entries", F.transform("_chunks", lambda c, i: _entry(i, c, long_enough(c)))
@@ -152,4 +160,4 @@ def deduplicate(
         *[made["text"].alias("text") if c == "text" else F.col(c) for c in names],
         made["n_chunks"].alias("n_chunks"),
         made["n_removed"].alias("n_removed"),
-    )
+    ).withColumnsRenamed(back)

@@ -16,7 +16,8 @@ every block holds the sources at their weights.
 
 Defined cases: a null source is the source ''; a null text has no tokens; sources
 without tokens have no weight and no copies; documents without tokens come where their
-place is reached; equal rows are chosen or left together; an empty table stays empty.
+place is reached; equal rows are chosen or left together; an empty table stays empty; columns
+of the input named mix_pass or mix_block give way, all others are kept.
 """
 
 from __future__ import annotations
@@ -28,13 +29,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.llm.staging import stage
-from sessionlens.llm.texts import text_or_empty
+from sessionlens.llm.texts import set_aside, text_or_empty
 
 SECTIONS, ROUNDS = 32, 7
 #: Blocks of a permutation for the search of its end, and of the mixed corpus.
 BLOCKS = 4096
 #: Places of a permutation are numbers below 2**60.
 PLACE_BITS, BLOCK_BITS = 60, 12
+#: Columns that `mix` adds for a while.
+_OWN = ("_source", "source_tokens", "budget", "passes", "rest", "cutoff", "_copies")
 
 
 class Target(NamedTuple):
@@ -160,7 +163,9 @@ def _cutoffs(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
 def mix(docs: DataFrame, target: Target, tokens: Column | None = None) -> DataFrame:
     """A row for every copy of a document: `docs` with mix_pass and mix_block."""
     tokens = word_tokens() if tokens is None else tokens
-    rows = stage(docs.select("doc_id", _source().alias("source"), tokens.alias("tokens")), "mix")
+    counted = docs.select("doc_id", _source().alias("source"), tokens.alias("tokens"))
+    docs, back = set_aside(docs, _OWN)
+    rows = stage(counted, "mix")
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("tokens"))
     totals = totals.filter(F.col("tokens") > 0)
     total = totals.agg(F.sum("tokens")).first()[0] or 1
@@ -187,4 +192,5 @@ def mix(docs: DataFrame, target: Target, tokens: Column | None = None) -> DataFr
     along = F.col("mix_pass") + _place(target.seed, F.col("mix_pass")) / F.lit(float(2**PLACE_BITS))
     position = along * F.col("source_tokens") / F.col("budget")
     block = F.least(F.floor(position * target.out_blocks), F.lit(target.out_blocks - 1))
-    return repeated.select(*names, "mix_pass", block.cast("int").alias("mix_block"))
+    made_rows = repeated.select(*names, "mix_pass", block.cast("int").alias("mix_block"))
+    return made_rows.withColumnsRenamed(back)

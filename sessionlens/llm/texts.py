@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,21 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def set_aside(docs: DataFrame, own: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with columns that have a name of `own` renamed, and how to name them back."""
+    reserved = {name.lower() for name in own}
+    taken = reserved | {c.lower() for c in docs.columns}
+    back = {}
+    for column in docs.columns:
+        if column.lower() in reserved:
+            name = f"_{column}"
+            while name.lower() in taken:
+                name = f"_{name}"
+            taken.add(name.lower())
+            back[name] = column
+    return docs.withColumnsRenamed({c: name for name, c in back.items()}), back
+
+
 def id_remainder(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo `modulus`; null ids count as the text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

@@ -37,6 +37,7 @@ from sessionlens.llm.staging import stage
 from sessionlens.llm.texts import (
     code_points,
     id_remainder,
+    set_aside,
     starts_of,
     text_slices,
     with_batch_columns,
@@ -260,6 +261,10 @@ def with_features(docs: DataFrame, learnt: dict[str, float], column: str) -> Dat
     return with_batch_columns(docs, compute, [field])
 
 
+#: Columns that `ToxicityModel.score` adds for a while.
+_OWN = ("_features", "_vector", "_raw", "_probability", "_prediction", "_p", "_calibrated")
+
+
 class ToxicityModel:
     """Lexicon, trees and calibration; `score` adds a column between 0 and 1."""
 
@@ -269,6 +274,7 @@ class ToxicityModel:
     def score(self, docs: DataFrame, column: str = "score") -> DataFrame:
         if self.trees is None:
             return docs.withColumn(column, F.lit(self.share))
+        docs, back = set_aside(docs, _OWN)
         made = with_features(docs, self.learnt, "_features")
         made = made.withColumn("_vector", array_to_vector("_features")).drop("_features")
         scored = self.trees.transform(made).withColumn("_p", vector_to_array("_probability")[1])
@@ -276,7 +282,7 @@ class ToxicityModel:
             scored = self.calibration.transform(scored).withColumn("_p", F.col("_calibrated"))
         names = [c for c in docs.columns if c != column]
         bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_p")))
-        return scored.select(*names, bounded.alias(column))
+        return scored.select(*names, bounded.alias(column)).withColumnsRenamed(back)
 
 
 def _both(rows: DataFrame) -> bool:
