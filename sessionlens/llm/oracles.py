@@ -243,3 +243,88 @@ SELECT doc_id, source, tokens::BIGINT AS tokens, mix_pass::INT AS mix_pass,
   least(floor((mix_pass + {place("mix_pass")} / {float(2**mixing.PLACE_BITS)}::DOUBLE)
     * source_tokens / budget * {target.out_blocks}), {target.out_blocks - 1})::INT AS mix_block
 FROM copies"""
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _terms(text: str, pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
+
+
+def lexical_search(top: int) -> str:
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"""
+WITH listed AS (
+  SELECT row_number() OVER () AS place, doc_id, {_terms("text", pattern)} AS terms FROM documents),
+totals AS (
+  SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_all
+  FROM listed),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest({_terms("text", pattern)}) AS term FROM benchmark),
+held AS (
+  SELECT place, doc_id, n, term, count(*) AS tf
+  FROM (SELECT place, doc_id, len(terms) AS n, unnest(terms) AS term FROM listed)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, totals GROUP BY term, n_docs),
+impacts AS (
+  SELECT place, doc_id, term,
+    (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_all)) AS impact
+  FROM held, totals),
+scores AS (
+  SELECT item_id, place, doc_id, sum(w * impact)::BIGINT AS score
+  FROM item_terms JOIN impacts USING (term) JOIN weights USING (term)
+  GROUP BY item_id, place, doc_id HAVING score > 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+  FROM scores)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {top}"""
+
+
+def divergence(least_documents: int, top: int) -> str:
+    pattern = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+    def price(count: str, total: str) -> str:
+        return f"1 + (1000000000::HUGEINT * ({count} + 1)) // ({total} + n_terms)"
+
+    return f"""
+WITH listed AS (
+  SELECT row_number() OVER () AS place, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    {_terms("text", pattern)} AS terms
+  FROM documents),
+words AS (SELECT place, lang, source, unnest(terms) AS term FROM listed),
+kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM words
+  GROUP BY lang, term HAVING count(DISTINCT place) >= {least_documents}),
+langs AS (
+  SELECT lang, count(term) AS n_terms, coalesce(sum(lang_n), 0) AS lang_total
+  FROM (SELECT DISTINCT lang FROM listed) LEFT JOIN kept USING (lang) GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM listed),
+cells AS (
+  SELECT lang, source, term, lang_n, coalesce(n, 0) AS n
+  FROM groups JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+totals AS (
+  SELECT lang, source, n_terms, lang_total, coalesce(sum(n), 0) AS total
+  FROM groups JOIN langs USING (lang) LEFT JOIN cells USING (lang, source) GROUP BY ALL),
+priced AS (
+  SELECT lang, source, term, n, {price("n", "total")} AS p, {price("lang_n", "lang_total")} AS q
+  FROM cells JOIN totals USING (lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+every_pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+  FROM priced WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM every_pair UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {top}"""

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.llm import (
     attention_quality,
+    divergence,
     imatch,
     jaccard_join,
     language_id,
+    lexical_search,
     line_dedup,
     mixing,
     oracles,
     perplexity,
     pieces,
+    token_counts,
     toxicity,
     urls,
 )
 from sessionlens.llm.texts import id_remainder
 
-#: The path of the piece model is a parameter; by default that of the public tokenizers.
-PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: The operators take the path of a tokenizer as a parameter.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 URL_RULES = (
     urls.Rule(urls.ALLOW, "com", "/"),
@@ -114,6 +118,20 @@ def temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lexical_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark"))
+
+
+def whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.with_token_counts(docs, BYTE_MODEL, keep=["doc_id"])
+
+
+def quadtree_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_chunks": line_chunks,
@@ -126,6 +144,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_temperature_mix": temperature_mix,
         "op9_attention_quality": attention_scores,
         "op10_jaccard_classes": jaccard_classes,
+        "op11_blocked_search": lexical_ranking,
+        "op12_whole_token_counts": whole_token_counts,
+        "op13_quadtree_divergence": quadtree_audit,
     }
 
 
@@ -139,5 +160,9 @@ def oracle_sql() -> dict[str, str]:
         "op10_jaccard_classes": oracles.jaccard_classes(
             jaccard_join.THRESHOLD, jaccard_join.WIDTH
         ),
+        "op11_blocked_search": oracles.lexical_search(lexical_search.TOP),
+        "op13_quadtree_divergence": oracles.divergence(
+            divergence.LEAST_DOCUMENTS, divergence.TOP_TERMS
+        ),
         "op5_url_vocabulary": oracles.url_rules(URL_RULES, urls.DEFAULT_VOCABULARY),
     }

@@ -25,9 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[app]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """`frame` written once to the shared folder, as a scan of the written files."""
-    path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

@@ -53,4 +53,4 @@ def test_pipeline_runs_as_a_query(compiled):
 
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
