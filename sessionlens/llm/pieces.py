@@ -12,28 +12,43 @@ the leftmost. Merging all occurrences of the best pair in one round gives the sa
 result unless the merged piece takes part in a pair of better rank; for such pieces,
 and for ranks that several pieces share, only the leftmost occurrence is merged.
 
+Very long words would need as many rounds as they have pieces that are merged one at a time;
+a heap of pairs merges these words, in the same order.
+
 Defined cases: a null text is encoded as the empty text, which has no ids; characters
-outside the vocabulary become byte pieces; repeated rows give repeated results.
+outside the vocabulary become byte pieces; repeated rows give repeated results; input columns that
+have the name of a new column, in any case of letters, give way; an empty table stays empty. Texts
+are read whole, and the longest one bounds the memory of a task.
 """
 
 from __future__ import annotations
 
+import functools
+import heapq
 import itertools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from sessionlens.llm.texts import gather_ranges, starts_of, text_slices, with_batch_columns
+from sessionlens.llm.texts import gather_ranges, starts_of, text_slices
 
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _NONE = np.iinfo(np.int32).max
-#: Words that a worker remembers before it starts anew.
-CACHED_WORDS = 600_000
+#: Memory for the words that a worker remembers before it starts anew, and for each beside its
+#: letters and ids.
+CACHED_BYTES, WORD_BYTES = 32_000_000, 160
+#: Characters that are encoded, and given back, at a time; a longer text is alone.
+SLICE_CHARS = 500_000
+#: Words of more symbols are merged by a heap.
+LONG_WORD = 1000
 
 
 class PieceModel:
@@ -100,6 +115,13 @@ class PieceModel:
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         symbols, word = self.char_symbol[chars], np.repeat(np.arange(len(words)), lengths)
         done_symbols, done_words = [], []
+        starts = starts_of(lengths)
+        for number in np.flatnonzero(lengths > LONG_WORD):
+            merged = self._merge_long(symbols[starts[number]:starts[number + 1]])
+            done_symbols.append(merged)
+            done_words.append(np.full(len(merged), number))
+        short = np.repeat(lengths <= LONG_WORD, lengths)
+        symbols, word = symbols[short], word[short]
         at, rank = self._pairs(symbols, word, np.arange(len(symbols)))
         while len(symbols):
             first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
@@ -124,6 +146,44 @@ class PieceModel:
         order = np.argsort(word, kind="stable")
         return self._with_bytes(symbols[order], word[order], len(words))
 
+    def _merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """The symbols of one word, merged: always the best pair, of equal ones the leftmost."""
+        pieces, ends = symbols.tolist(), len(symbols)
+        following, before = [*range(1, ends), -1], [*range(-1, ends - 1)]
+        places = np.arange(ends)
+        at, rank = self._pairs(symbols, places * 0, places)
+        heap = [
+            (r, place, piece)
+            for r, place, piece in zip(rank.tolist(), places.tolist(), self.pair_piece[at].tolist())
+            if r != _NONE
+        ]
+        heapq.heapify(heap)
+        known = self._long_pairs
+
+        def pair(place: int) -> tuple[int, int] | None:
+            return known.get((pieces[place], pieces[following[place]]))
+
+        while heap:
+            _, place, piece = heapq.heappop(heap)
+            after = following[place]
+            if pieces[place] < 0 or after < 0 or (pair(place) or (0, -1))[1] != piece:
+                continue  # one of its symbols has been merged since
+            pieces[place], pieces[after] = piece, -1
+            following[place] = following[after]
+            if following[place] >= 0:
+                before[following[place]] = place
+            for start in (before[place], place):
+                if start >= 0 and following[start] >= 0 and (new := pair(start)):
+                    heapq.heappush(heap, (new[0], start, new[1]))
+        return np.array([symbol for symbol in pieces if symbol >= 0], np.int64)
+
+    @functools.cached_property
+    def _long_pairs(self) -> dict[tuple[int, int], tuple[int, int]]:
+        """(left, right) -> (rank, piece)."""
+        left, right = self.pair_keys >> 32, self.pair_keys & 0xFFFFFFFF
+        found = zip(self.pair_rank.tolist(), self.pair_piece.tolist())
+        return dict(zip(zip(left.tolist(), right.tolist()), found))
+
     def _pairs(self, symbols, word, places) -> tuple[np.ndarray, np.ndarray]:
         """Index in the table of pairs, and rank, of the pairs that begin at `places`."""
         follower = np.minimum(places + 1, len(symbols) - 1)
@@ -176,8 +236,9 @@ class Encoder:
 
     def _forget(self) -> None:
         self.code: dict[str, int] = {}
+        self.held = 0
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int64)
+        self.ids = np.empty(0, np.int32)
 
     def _words(self, text: str) -> list[str]:
         """Words without the one space that usually precedes them; others in full."""
@@ -194,16 +255,19 @@ class Encoder:
         new = list(words - self.code.keys())
         if not new:
             return
-        if len(self.code) + len(new) > CACHED_WORDS:
+        size = sum(map(len, new)) * 8 + len(new) * WORD_BYTES
+        if self.held and self.held + size > CACHED_BYTES:
             self._forget()
             new = list(words)
+            size = sum(map(len, new)) * 8 + len(new) * WORD_BYTES
+        self.held += size
         full = [w[1:] if w.startswith(SPACE) else SPACE + w for w in new]
         ids, lengths = self.model.encode_words(full)
         known = len(self.code)
         self.code.update(zip(new, range(known, known + len(new))))
         self.starts = np.concatenate((self.starts, len(self.ids) + starts_of(lengths)[:-1]))
         self.lengths = np.concatenate((self.lengths, lengths))
-        self.ids = np.concatenate((self.ids, ids))
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""
@@ -222,42 +286,63 @@ _encoders: dict[int, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
-    """The encoder of a worker process; it outlives the task."""
+    """The encoder of a worker process; it outlives the task, what it remembers is bounded."""
     key = hash(shared.value)
     if key not in _encoders:
+        _encoders.clear()
         _encoders[key] = Encoder(PieceModel(shared.value))
     return _encoders[key]
 
 
-def encode_and_decode(
-    docs: DataFrame, model: str, text: str = "text", keep: list[str] | None = None
+def encode(
+    docs: DataFrame,
+    model: str,
+    text: str = "text",
+    keep: list[str] | None = None,
+    decode: bool = False,
 ) -> DataFrame:
-    """`docs` with `ids` (array of int) and `decoded` (the text of these ids).
+    """`docs` with `ids` (array of int) and, with `decode`, `decoded` (the text of these ids).
 
     `model` is the path of a SentencePiece BPE model with byte fallback, without text
     normalisation. It is read on the driver and sent to the executors; its size is
-    that of the vocabulary and does not depend on the data.
+    that of the vocabulary and does not depend on the data. `keep` names the columns to
+    return, all by default. Results are given back slice by slice.
     """
     with open(model, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-
-    def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    new = [T.StructField("ids", T.ArrayType(T.IntegerType(), True), True)]
+    if decode:
+        new.append(T.StructField("decoded", T.StringType(), True))
+    made = {field.name for field in new}
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
+    read = text
+    while read.lower() in made | {c.lower() for c in kept if c != text}:
+        read = f"_{read}"
+    columns = [*kept, *([] if read in kept else [read])]
+    schema = T.StructType([docs.schema[c] for c in kept] + new)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        ids, counts, decoded = [], [], []
-        for _, texts in text_slices(batch, text):
-            some, lengths = encoder.encode(texts)
-            ids.append(some.astype(np.int32))
-            counts.append(lengths)
-            decoded += encoder.model.decode(some, lengths)
-        offsets = starts_of(np.concatenate(counts or [np.empty(0, np.int64)]))
-        flat = np.concatenate(ids or [np.empty(0, np.int32)])
-        return {
-            "ids": pa.ListArray.from_arrays(offsets.astype(np.int32), flat),
-            "decoded": pa.array(decoded, pa.string()),
-        }
-
-    fields = [
-        T.StructField("ids", T.ArrayType(T.IntegerType(), True), True),
-        T.StructField("decoded", T.StringType(), True),
-    ]
-    return with_batch_columns(docs, compute, fields, keep)
+        for batch in batches:
+            for start, texts in text_slices(batch, read, SLICE_CHARS):
+                ids, lengths = encoder.encode(texts)
+                part = batch.slice(start, len(texts))
+                offsets = starts_of(lengths).astype(np.int32)
+                arrays = [part.column(batch.schema.get_field_index(c)) for c in kept]
+                arrays.append(pa.ListArray.from_arrays(offsets, ids))
+                if decode:
+                    arrays.append(pa.array(encoder.model.decode(ids, lengths), pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [array.cast(field.type) for array, field in zip(arrays, arrow)], schema=arrow
+                )
+
+    named = docs if read in docs.columns else docs.withColumn(read, F.col(text))
+    return named.select(*columns).mapInArrow(run, schema)
+
+
+def encode_and_decode(
+    docs: DataFrame, model: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """`docs` with `ids` and `decoded`."""
+    return encode(docs, model, text, keep, decode=True)

@@ -2,7 +2,7 @@
 
 A staged table cuts lineage without being lost together with an executor, and keeps
 column pruning and statistics. The folder is that of ``spark.checkpoint.dir``; only a
-session that does not name one (a test on one machine) gets a folder of its own.
+session on one machine (a test) that does not name one gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="sessionlens-llm-")

@@ -54,13 +54,15 @@ def slices(lengths: np.ndarray, most: int = SLICE_CHARS) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
-def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str]]]:
+def text_slices(
+    batch: pa.RecordBatch, column: str, most: int = SLICE_CHARS
+) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of a batch, slice by slice; a null text is empty."""
     texts = batch.column(batch.schema.get_field_index(column))
     lengths = np.nan_to_num(
         np.asarray(pc.binary_length(texts).to_numpy(zero_copy_only=False), float)
     )
-    for start, end in slices(lengths):
+    for start, end in slices(lengths, most):
         yield start, [text or "" for text in texts.slice(start, end - start).to_pylist()]
 
 
@@ -73,10 +75,11 @@ def with_batch_columns(
     """`frame` with the columns that `compute` derives from each Arrow batch.
 
     `keep` names the input columns to return (all by default). An input column that
-    has the name of a new column is replaced.
+    has the name of a new column, in any case of letters, is replaced.
     """
     new = [field.name for field in fields]
-    kept = [c for c in (frame.columns if keep is None else keep) if c not in new]
+    taken = {name.lower() for name in new}
+    kept = [c for c in (frame.columns if keep is None else keep) if c.lower() not in taken]
     schema = T.StructType([frame.schema[c] for c in kept] + fields)
     arrow = to_arrow_schema(schema)
 

@@ -1,6 +1,7 @@
 """Encoding against the library itself, on random and awkward texts."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -44,12 +45,37 @@ def test_ids_and_texts_are_those_of_the_library(library, encoder, texts):
 
 
 def test_forgetting_words_changes_nothing(library, encoder, monkeypatch):
-    monkeypatch.setattr(pieces, "CACHED_WORDS", 10)
+    monkeypatch.setattr(pieces, "CACHED_BYTES", 2000)
     for text in AWKWARD + _random_texts(50):
         ids, _ = encoder.encode([text])
         assert ids.tolist() == library.encode(text)
 
 
+def test_long_words_are_merged_as_the_library_does(library, encoder):
+    dice = random.Random(4)
+    words = ["a" * 5000, "日本" * 1500, "".join(dice.choices("abceiorst", k=20_000)), "é😀" * 900]
+    texts = [f"x {word} y {word}" for word in words]
+    ids, lengths = encoder.encode(texts)
+    found = np.split(ids, np.cumsum(lengths)[:-1])
+    assert [row.tolist() for row in found] == library.encode(texts)
+
+
+def test_a_very_long_word_takes_little_time(encoder):
+    word = "".join(random.Random(5).choices("abceiorst", k=200_000))
+    started = time.process_time()
+    encoder.encode([word])
+    assert time.process_time() - started < 10
+
+
+def test_slices_and_columns(docs, library, monkeypatch):
+    monkeypatch.setattr(pieces, "SLICE_CHARS", 5)
+    rows = docs([None, "a b", "", "a long text", "c"]).withColumnRenamed("source", "IDS")
+    made = pieces.encode(rows, PIECE_MODEL, keep=["doc_id", "IDS"])
+    assert made.columns == ["doc_id", "ids"]
+    expected = [[], *library.encode(["a b", "", "a long text", "c"])]
+    assert [r.ids for r in made.orderBy("doc_id").collect()] == expected
+
+
 def test_frame_with_nulls_and_clashing_columns(docs, library):
     rows = docs([None, "", "a  b", "a  b"]).withColumnRenamed("lang", "ids")
     made = pieces.encode_and_decode(rows, PIECE_MODEL).orderBy("doc_id").collect()

@@ -1,6 +1,7 @@
 """The registered queries against their SQL counterparts, and the pipeline by hand."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import oracle_check
@@ -54,3 +55,25 @@ def test_pipeline_runs_as_a_query(compiled):
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
     assert numbers == list(range(1, 14))
+
+
+def test_pipeline_carries_columns_with_names_of_its_own(compiled, tmp_path):
+    spark = compiled
+    extra = {"ids": "x", "n_tokens": 7, "N_removed": 8, "_toxicity": 9.0, "n_chunks": 3, "mix_pass": 1}
+    for name in ("documents", "labels"):
+        frame = queries.table(spark, SF, name)
+        if name == "documents":
+            frame = frame.withColumns({c: F.lit(v) for c, v in extra.items()})
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    made = corpus_pipeline.run(spark, str(tmp_path))
+    kept = {c: v for c, v in extra.items() if c not in ("ids", "n_tokens")}
+    assert made.count() > 0
+    assert {tuple(r) for r in made.select(*kept).distinct().collect()} == {tuple(kept.values())}
+    assert made.filter("n_tokens <> size(ids)").count() == 0
+
+
+def test_pipeline_of_empty_tables(compiled, tmp_path):
+    spark = compiled
+    for name in ("documents", "labels"):
+        queries.table(spark, SF, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
