@@ -3,7 +3,8 @@ is left is encoded. Every stage takes (spark, docs, sf_dir), works on all of `do
 all but the last return the columns of the documents table.
 
 Defined cases: empty tables give empty results; null texts count as empty; extra columns
-of the documents are carried along; a document whose text line dedup takes away in whole
+of the documents are carried along, also those with the name of a column that a stage computes for
+itself; only the last stage's ids and n_tokens replace such columns; a document whose text line dedup takes away in whole
 is a copy and goes. SQL cannot express the boosted trees and the encoding; the tests
 compare the pipeline with a brute-force version.
 """
@@ -12,29 +13,37 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from sessionlens.llm import jaccard_join, line_dedup, mixing, pieces, toxicity  # noqa: E402
+from sessionlens.llm import (  # noqa: E402
+    jaccard_join,
+    line_dedup,
+    mixing,
+    pieces,
+    staging,
+    toxicity,
+)
 from sessionlens.llm.queries import PIECE_MODEL, table  # noqa: E402
-from sessionlens.llm.staging import shared_folder  # noqa: E402
+from sessionlens.llm.texts import set_aside  # noqa: E402
 
 #: Every document stays at least once; smaller sources are repeated up to twice.
 MIX_TARGET = mixing.Target(entropy=0.98, max_repeats=2.0, min_passes=1.0)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    named, back = set_aside(docs, ["_toxicity"])
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = model.score(docs, "_toxicity")
-    return scored.filter(F.col("_toxicity") < toxicity.REJECT).select(*docs.columns)
+    scored = model.score(named, "_toxicity").filter(F.col("_toxicity") < toxicity.REJECT)
+    return scored.drop("_toxicity").withColumnsRenamed(back).select(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.deduplicate(docs)
+    named, back = set_aside(docs, ["n_chunks", "n_removed"])
+    cleaned = line_dedup.deduplicate(named)
     # A filter on computed columns would be moved below them and repeat the whole nested
     # computation many times; it is not moved below a generator.
     computed = ("text", "n_removed")
@@ -46,7 +55,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         kind = docs.schema["n_chars"].dataType
         changed = F.when(F.col("n_removed") > 0, F.length("text").cast(kind))
         kept = kept.withColumn("n_chars", changed.otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+    return kept.drop("n_chunks", "n_removed").withColumnsRenamed(back).select(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +63,15 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, MIX_TARGET).select(*docs.columns)
+    named, back = set_aside(docs, ["mix_pass", "mix_block"])
+    made = mixing.mix(named, MIX_TARGET).drop("mix_pass", "mix_block")
+    return made.withColumnsRenamed(back).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    made = pieces.encode_and_decode(docs, PIECE_MODEL)
-    return made.select(*docs.columns, F.size("ids").alias("n_tokens"), "ids")
+    kept = [c for c in docs.columns if c.lower() not in ("ids", "n_tokens")]
+    made = pieces.encode(docs, PIECE_MODEL, keep=kept)
+    return made.select(*kept, F.size("ids").alias("n_tokens"), "ids")
 
 
 STAGES = [
@@ -75,9 +87,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for number, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
-        docs = spark.read.parquet(f"{folder}/{number}")
+    docs, made = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        docs = staging.stage(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if made is not None:
+            staging.discard(made)
+        made = docs
     return docs
