@@ -1,10 +1,16 @@
 """Order inside a session without putting a whole session into one task.
 
-A session may hold a large share of all events, so no operator sorts the events
-of a session in one group. Events are cut into time buckets of a session; sums
-inside a bucket are windows over (session, bucket), and sums over earlier
-buckets come from one row per bucket. A session has at most one bucket per
-`bucket_s` seconds of its life, however many events it holds.
+A session may hold a large share of all events, so no operator sorts the events of a
+session in one group. Events are cut into time buckets of a session, and a bucket that
+holds many events is cut again into leaves: the counts of its cells of 10 ms are summed up in
+the order of time, and a leaf ends where `LEAF_EVENTS` are reached. Sums inside a leaf are
+windows over (session, leaf); sums over earlier leaves come from one row per leaf.
+
+Bounds: a bucket has at most `bucket_s` * 100 cells. A leaf has fewer than `LEAF_EVENTS` events and
+one more cell; a cell has at most 10,000 instants, and what operators order in a leaf is
+one row per instant and type, however many events it stands for. Events without a timestamp
+share one instant. A session has one leaf per bucket of its life, and one more per
+`LEAF_EVENTS` events.
 """
 
 from __future__ import annotations
@@ -15,6 +21,8 @@ from pyspark.sql import functions as F
 from sessionlens import vocabulary as v
 
 BUCKET_S = 60
+CELL_MICROS = 10_000
+LEAF_EVENTS = 5_000
 # Events without a timestamp come first in a session, as NULL sorts first.
 NO_TIME = -(2**62)
 
@@ -43,18 +51,13 @@ def located(events: DataFrame, bucket_s: int) -> DataFrame:
     )
 
 
-def bucket_offsets(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
-    """Per (session, bucket): events and prompts before it, and session totals.
-
-    `has_prefix` says that the session starts with something else than a prompt;
-    `bucket_events` and `bucket_prompts` are the bucket's own counts.
-    Reads three columns of the events and combines on the map side.
-    """
+def _cells(events: DataFrame, bucket_s: int) -> DataFrame:
+    """Counts per (session, bucket, cell); a cell is named by its first microsecond."""
     prompt = F.col("event_type") == v.USER_PROMPT
     earlier_type = F.coalesce(F.col("event_type") < v.USER_PROMPT, F.lit(True))
-    buckets = (
+    return (
         located(events.select("session_id", "event_ts", "event_type"), bucket_s)
-        .groupBy("session_id", "b")
+        .groupBy("session_id", "b", (F.col("t") - F.pmod("t", F.lit(CELL_MICROS))).alias("cell"))
         .agg(
             F.count(F.lit(1)).alias("events"),
             F.count(F.when(prompt, F.lit(1))).alias("prompts"),
@@ -63,8 +66,32 @@ def bucket_offsets(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
             F.min(F.when(~prompt & ~earlier_type, F.col("t"))).alias("later_t"),
         )
     )
+
+
+def leaf_offsets(
+    events: DataFrame, bucket_s: int = BUCKET_S, most: int = LEAF_EVENTS
+) -> DataFrame:
+    """Per (session, bucket, leaf): events and prompts before it, and session totals.
+
+    A leaf holds the events from `leaf` up to `leaf_end`, in microseconds; the last one of a
+    bucket has no end. `has_prefix` says that the session starts with something else than a
+    prompt; `leaf_events` and `leaf_prompts` are the leaf's own counts. Reads three columns
+    of the events and combines on the map side.
+    """
+    bucket_order = Window.partitionBy("session_id", "b").orderBy("cell")
+    before_cell = F.coalesce(
+        F.sum("events").over(bucket_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    numbered = _cells(events, bucket_s).withColumn("number", F.floor(before_cell / F.lit(most)))
+    leaves = numbered.groupBy("session_id", "b", "number").agg(
+        F.min("cell").alias("leaf"),
+        *[F.sum(name).alias(name) for name in ("events", "prompts")],
+        *[F.min(name).alias(name) for name in ("prompt_t", "earlier_t", "later_t")],
+    )
+    next_leaf = F.lead("leaf").over(Window.partitionBy("session_id", "b").orderBy("number"))
+    leaves = leaves.withColumn("leaf_end", next_leaf)
     session = Window.partitionBy("session_id")
-    before = session.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    before = session.orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
     first_prompt = F.min("prompt_t").over(session)
     starts_earlier = (F.min("earlier_t").over(session) <= first_prompt) | (
         F.min("later_t").over(session) < first_prompt
@@ -72,13 +99,25 @@ def bucket_offsets(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
     has_prefix = F.when(first_prompt.isNull(), F.lit(True)).otherwise(
         F.coalesce(starts_earlier, F.lit(False))
     )
-    return buckets.select(
+    return leaves.select(
         "session_id",
         "b",
+        "leaf",
+        "leaf_end",
         F.coalesce(F.sum("events").over(before), F.lit(0)).alias("events_before"),
         F.coalesce(F.sum("prompts").over(before), F.lit(0)).alias("prompts_before"),
-        F.col("events").alias("bucket_events"),
-        F.col("prompts").alias("bucket_prompts"),
+        F.col("events").alias("leaf_events"),
+        F.col("prompts").alias("leaf_prompts"),
         has_prefix.cast("long").alias("has_prefix"),
         (F.sum("prompts").over(session) + has_prefix.cast("long")).alias("num_interactions"),
     )
+
+
+def in_leaves(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Rows that `located` has placed, with the columns of their leaf's offsets."""
+    leaf = offsets.withColumnsRenamed({"session_id": "_session", "b": "_b"})
+    inside = (F.col("t") >= F.col("leaf")) & (
+        F.col("leaf_end").isNull() | (F.col("t") < F.col("leaf_end"))
+    )
+    same = (F.col("session_id") == F.col("_session")) & (F.col("b") == F.col("_b"))
+    return rows.join(leaf, same & inside).drop("_session", "_b")

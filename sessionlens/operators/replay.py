@@ -4,10 +4,12 @@ The first and last `keep` interactions are printed line by line, each interactio
 between them becomes one compressed line, and the text is cut at `budget`
 characters.
 
-Events are combined with their copies, numbered inside their time bucket, and
-given their place in the session from one row per bucket (see `ordering`). Every
-event then knows the line it belongs to. Lines are summed up by their own key,
-and a session receives only those that can begin inside the budget.
+Interactions and positions only depend on the instant and the type of an event, so the
+events are first combined into slots: one row per (session, instant, type), and one per
+prompt and its copies, as every prompt starts an interaction. Slots are placed in the
+session by the sums of their leaf (see `ordering`). The compressed lines come from
+slots alone. Text is read for the lines that are printed: the first events of
+each slot in the order of their details, as many as can be printed at most.
 """
 
 from __future__ import annotations
@@ -22,7 +24,15 @@ from sessionlens.functions.text import (
     text_or_none,
     timestamp_text,
 )
-from sessionlens.operators.ordering import BUCKET_S, NO_TIME, bucket_offsets, located
+from sessionlens.operators.ordering import (
+    BUCKET_S,
+    LEAF_EVENTS,
+    NO_TIME,
+    in_leaves,
+    leaf_offsets,
+    located,
+    micros,
+)
 
 # Columns that order the events of a session after their time and type.
 _DETAILS = (
@@ -83,72 +93,92 @@ def _is_prompt() -> Column:
     return F.coalesce(F.col("event_type") == v.USER_PROMPT, F.lit(False))
 
 
+def _slots(events: DataFrame, bucket_s: int) -> DataFrame:
+    """One row per (session, instant, type), and one per prompt and its copies.
+
+    `n` events cost `usd` and took `ms` together. Only prompts keep their details. Combined
+    before any shuffle.
+    """
+    rows = located(events.select(*COLUMNS), bucket_s)
+    details = [F.when(_is_prompt(), F.col(name)).alias(name) for name in _DETAILS]
+    return rows.groupBy("session_id", "b", "t", "event_type", *details).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(rows["cost_usd"]).alias("usd"),
+        F.sum(rows["duration_ms"]).alias("ms"),
+    )
+
+
 def _with_tail_end(offsets: DataFrame, keep: int) -> DataFrame:
-    """`tail_end`: events up to the end of the bucket in which the tail begins.
+    """`tail_end`: events up to the end of the leaf in which the tail begins.
 
     The tail begins before it, so no line `max_lines` or more behind it can show.
     """
-    last_index = F.col("has_prefix") + F.col("prompts_before") + F.col("bucket_prompts") - 1
+    last_index = F.col("has_prefix") + F.col("prompts_before") + F.col("leaf_prompts") - 1
     reached = last_index >= F.col("num_interactions") - keep
-    end = F.when(reached, F.col("events_before") + F.col("bucket_events"))
+    end = F.when(reached, F.col("events_before") + F.col("leaf_events"))
     return offsets.withColumn("tail_end", F.min(end).over(Window.partitionBy("session_id")))
 
 
-def _place_in_session(
-    slots: DataFrame, events: DataFrame, bucket_s: int, keep: int | None = None
+def _placed_slots(
+    events: DataFrame, bucket_s: int, keep: int | None = None, most: int = LEAF_EVENTS
 ) -> DataFrame:
-    """Number the interactions of combined events.
+    """Slots with the numbers of their interactions.
 
-    `first_index` and `last_index` are the interactions an event and its copies
-    belong to: they differ only for copies of a prompt, as each starts its own.
-    `events_before` counts the events of the session that come earlier.
+    `first_index` and `last_index` are the interactions a slot belongs to: they differ only
+    for copies of a prompt, as each starts its own. `events_before` counts the events of
+    the session that come before the slot.
     """
+    offsets = leaf_offsets(events, bucket_s, most)
+    if keep is not None:
+        offsets = _with_tail_end(offsets, keep)
     earlier = (
-        Window.partitionBy("session_id", "b")
+        Window.partitionBy("session_id", "b", "leaf")
         .orderBy("t", "event_type", *_DETAILS)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = bucket_offsets(events, bucket_s)
-    if keep is not None:
-        offsets = _with_tail_end(offsets, keep)
     prompts = F.when(_is_prompt(), F.col("n")).otherwise(F.lit(0))
-    begun = F.col("has_prefix") + F.col("prompts_before") + F.col("prompts_in_bucket")
+    begun = F.col("has_prefix") + F.col("prompts_before") + F.col("prompts_in_leaf")
     return (
-        slots.withColumns(
+        in_leaves(_slots(events, bucket_s), offsets)
+        .withColumns(
             {
-                "prompts_in_bucket": F.coalesce(F.sum(prompts).over(earlier), F.lit(0)),
-                "events_in_bucket": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+                "prompts_in_leaf": F.coalesce(F.sum(prompts).over(earlier), F.lit(0)),
+                "events_in_leaf": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
             }
         )
-        .join(offsets.drop("bucket_events", "bucket_prompts"), ["session_id", "b"])
         .withColumns(
             {
                 "first_index": F.when(_is_prompt(), begun).otherwise(begun - 1),
                 "last_index": F.when(_is_prompt(), begun + F.col("n") - 1).otherwise(begun - 1),
-                "events_before": F.col("events_before") + F.col("events_in_bucket"),
+                "events_before": F.col("events_before") + F.col("events_in_leaf"),
             }
         )
-        .drop("prompts_in_bucket", "events_in_bucket", "prompts_before", "has_prefix")
+        .drop("b", "leaf", "leaf_end", "leaf_events", "leaf_prompts", "prompts_before")
+        .drop("prompts_in_leaf", "events_in_leaf", "has_prefix")
     )
 
 
-def _combined(events: DataFrame, bucket_s: int, printed_only: bool = False) -> DataFrame:
-    """Events and the number `n` of their copies, combined before any shuffle.
+def _with_events(slots: DataFrame, events: DataFrame, t: str, kind: str, *more: Column):
+    """`slots` with the events at instant `t` of type `kind`; others keep one row.
 
-    With `printed_only`, events also count as copies when they print the same
-    line: equal previews up to the printed length give equal lines, wherever the
-    rest of the text and the duration would order them. Prompts keep both, since
-    every copy may become a compressed line of its own.
+    The columns of an event come with a leading underscore. Instants and types name one slot
+    each, so the join splits a slot with very many events, never a session.
     """
-    rows = located(events.select(*COLUMNS), bucket_s)
-    keys = {name: F.col(name) for name in _DETAILS}
-    if printed_only:
-        short = F.substring("content_preview", 1, v.REPLAY_PREVIEW_CHARS)
-        keys["content_preview"] = F.when(_is_prompt(), F.col("content_preview")).otherwise(short)
-        keys["duration_ms"] = F.when(_is_prompt(), F.col("duration_ms"))
-    return rows.groupBy(
-        "session_id", "b", "t", "event_type", *[key.alias(name) for name, key in keys.items()]
-    ).agg(F.count(F.lit(1)).alias("n"), F.sum(rows["duration_ms"]).alias("total_ms"))
+    events = events.withColumnsRenamed({name: f"_{name}" for name in events.columns})
+    same = (
+        (F.col("session_id") == F.col("_session_id"))
+        & (F.col(t) == F.col("_t"))
+        & F.col(kind).eqNullSafe(F.col("_event_type"))
+    )
+    for condition in more:
+        same = same & condition
+    return slots.join(events, same, "left")
+
+
+def _others(events: DataFrame) -> DataFrame:
+    """Events of known sessions that are not prompts, with their instant `t`."""
+    rows = events.select(*COLUMNS).filter(F.col("session_id").isNotNull() & ~_is_prompt())
+    return rows.withColumn("t", micros()).drop("event_ts")
 
 
 def _explode_range(frame: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
@@ -168,34 +198,37 @@ def _explode_range(frame: DataFrame, low: Column, high: Column, name: str) -> Da
     )
 
 
-def with_interaction_index(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
+def _event_ts() -> Column:
+    return F.when(F.col("t") > NO_TIME, F.timestamp_micros("t"))
+
+
+def with_interaction_index(
+    events: DataFrame, bucket_s: int = BUCKET_S, most: int = LEAF_EVENTS
+) -> DataFrame:
     """Every event (replay columns) with the number of its interaction in the session.
 
     A new interaction starts at each prompt; events before the first prompt form
     interaction 0 of their own.
     """
-    placed = _place_in_session(_combined(events, bucket_s), events, bucket_s)
-    copies = _explode_range(placed, F.lit(0).cast("long"), F.col("n") - 1, "copy")
-    index = F.col("first_index") + F.when(_is_prompt(), F.col("copy")).otherwise(F.lit(0))
-    event_ts = F.when(F.col("t") > NO_TIME, F.timestamp_micros("t"))
-    return copies.select(
-        "session_id",
-        event_ts.alias("event_ts"),
-        "event_type",
-        *_DETAILS,
-        index.alias("interaction_index"),
+    slots = _placed_slots(events, bucket_s, most=most)
+    # Prompts have a slot of their own; the slots of all others meet their events.
+    slots = slots.withColumn("other_t", F.when(~_is_prompt(), F.col("t")))
+    rows = _with_events(slots, _others(events), "other_t", "event_type")
+    rows = _explode_range(rows, F.col("first_index"), F.col("last_index"), "interaction_index")
+    details = [F.when(_is_prompt(), F.col(d)).otherwise(F.col(f"_{d}")).alias(d) for d in _DETAILS]
+    return rows.select(
+        "session_id", _event_ts().alias("event_ts"), "event_type", *details, "interaction_index"
     )
 
 
 def _shares(placed: DataFrame) -> DataFrame:
     """Events, cost and time that a slot adds to each interaction it belongs to."""
-    one_each = _is_prompt()
-    copies = F.when(one_each, F.col("n")).otherwise(F.lit(1))
+    each = F.when(_is_prompt(), F.col("n")).otherwise(F.lit(1))
     return placed.withColumns(
         {
-            "share_ms": F.col("total_ms") / copies,
-            "share_usd": F.col("cost_usd") * F.when(one_each, F.lit(1)).otherwise(F.col("n")),
-            "share_n": F.when(one_each, F.lit(1)).otherwise(F.col("n")),
+            "share_ms": F.col("ms") / each,
+            "share_usd": F.when(_is_prompt(), F.col("cost_usd")).otherwise(F.col("usd")),
+            "share_n": F.when(_is_prompt(), F.lit(1)).otherwise(F.col("n")),
         }
     )
 
@@ -234,18 +267,22 @@ def _sum_up(shares: DataFrame, *keys: str) -> DataFrame:
         shortest_number(F.col("ms")),
         F.lit("ms] ---"),
     )
-    return summed.select(*keys, "num_events", compressed.alias("compressed"))
+    first_type = F.col("types")[0]["event_type"].alias("first_type")
+    return summed.select(*keys, "num_events", compressed.alias("compressed"), first_type)
 
 
-def compressed_interactions(events: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
+def compressed_interactions(
+    events: DataFrame, bucket_s: int = BUCKET_S, most: int = LEAF_EVENTS
+) -> DataFrame:
     """One summary line for every interaction of every session."""
-    placed = _place_in_session(_combined(events, bucket_s, printed_only=True), events, bucket_s)
     indexed = _explode_range(
-        _shares(placed), F.col("first_index"), F.col("last_index"), "interaction_index"
-    )
-    return _sum_up(indexed, "session_id", "interaction_index").withColumnRenamed(
-        "compressed", "line"
+        _shares(_placed_slots(events, bucket_s, most=most)),
+        F.col("first_index"),
+        F.col("last_index"),
+        "interaction_index",
     )
+    lines = _sum_up(indexed, "session_id", "interaction_index").drop("first_type")
+    return lines.withColumnRenamed("compressed", "line")
 
 
 def _parts(keep: int, max_lines: int) -> Column:
@@ -285,11 +322,27 @@ def _parts(keep: int, max_lines: int) -> Column:
     return F.array(head, middle, tail)
 
 
+def _first_events(events: DataFrame, max_lines: int) -> DataFrame:
+    """The lines of the first `max_lines` events of each slot without prompts, and their `rank`.
+
+    Events that print the same are interchangeable, so only what a line prints orders them.
+    The limit holds before the shuffle: no task gives more of a slot than can be printed.
+    """
+    printed = [name for name in _DETAILS if name not in ("content_preview", "duration_ms")]
+    short = F.substring("content_preview", 1, v.REPLAY_PREVIEW_CHARS).alias("content_preview")
+    slot = ["session_id", "t", "event_type"]
+    rows = _others(events).select(*slot, *printed, short)
+    order = Window.partitionBy(*slot).orderBy(*printed, "content_preview")
+    first = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max_lines)
+    return first.select(*slot, "rank", event_line(_event_ts()).alias("line"))
+
+
 def replay_lines(
     events: DataFrame,
     keep: int = v.KEEP_INTERACTIONS,
     budget: int = v.REPLAY_CHAR_BUDGET,
     bucket_s: int = BUCKET_S,
+    most: int = LEAF_EVENTS,
 ) -> DataFrame:
     """The lines of each replay as (session_id, part, position, line).
 
@@ -302,33 +355,38 @@ def replay_lines(
     if keep < 1:
         raise ValueError("keep must be at least 1")
     max_lines = lines_within(budget)
-    combined = _combined(events, bucket_s, printed_only=True)
-    placed = _place_in_session(combined, events, bucket_s, keep)
-    event_ts = F.when(F.col("t") > NO_TIME, F.timestamp_micros("t"))
-    taking_part = (
-        _shares(placed)
+    parts = (
+        _shares(_placed_slots(events, bucket_s, keep, most))
         .select("*", F.inline(_parts(keep, max_lines)))
         .filter(F.col("low") <= F.col("high"))
-        .select("*", F.explode(F.sequence("low", "high")).alias("position"))
-        .select(
-            "session_id",
-            "part",
-            "position",
-            "event_type",
-            "t",
-            "share_n",
-            "share_usd",
-            "share_ms",
-            F.when(
-                F.col("part") != _MIDDLE, F.substring(event_line(event_ts), 1, budget)
-            ).alias("verbatim"),
-        )
     )
-    lines = _sum_up(taking_part, "session_id", "part", "position", "verbatim").select(
+    # Copies of a prompt, and interactions, take a line each. Any other slot that is printed
+    # keeps one row here, and meets the texts of its events when the sums are done.
+    is_slot = (F.col("part") != _MIDDLE) & ~_is_prompt()
+    taking_part = parts.select(
+        "*",
+        F.explode(
+            F.sequence("low", F.when(is_slot, F.col("low")).otherwise(F.col("high")))
+        ).alias("position"),
+        F.when(is_slot, F.col("t")).alias("slot_t"),
+        F.when(is_slot, F.col("high")).alias("slot_high"),
+        F.when(
+            (F.col("part") != _MIDDLE) & _is_prompt(),
+            F.substring(event_line(_event_ts()), 1, budget),
+        ).alias("verbatim"),
+    )
+    keys = ("session_id", "part", "position", "slot_t", "slot_high", "verbatim")
+    rows = _sum_up(taking_part, *keys)
+    texts = _first_events(events, max_lines)
+    position = F.col("position") + F.coalesce(F.col("_rank") - 1, F.lit(0))
+    rows = _with_events(rows, texts, "slot_t", "first_type", position <= F.col("slot_high"))
+    lines = rows.select(
         "session_id",
         "part",
-        "position",
-        F.coalesce("verbatim", F.substring("compressed", 1, budget)).alias("line"),
+        position.alias("position"),
+        F.coalesce(
+            F.substring("_line", 1, budget), "verbatim", F.substring("compressed", 1, budget)
+        ).alias("line"),
     )
     in_text = Window.partitionBy("session_id").orderBy("part", "position")
     begins_at = F.sum(F.length("line") + 1).over(

@@ -12,6 +12,7 @@ from sessionlens.operators.judge import PROMPT_SUBJECT, Judge, session_scores, w
 from sessionlens.operators.replay import COLUMNS as REPLAY_COLUMNS
 from sessionlens.operators.replay import session_replay
 from sessionlens.operators.signals import completed_sessions
+from sessionlens.plans import timeline_days
 from sessionlens.sinks import tables
 from sessionlens.sources import schemas
 
@@ -71,7 +72,8 @@ def score_sessions(
         if count == 0:
             logger.info("no sessions to score")
             return 0
-        timeline = spark.table(f"{silver_schema}.{v.SILVER_EVENTS}").select(*REPLAY_COLUMNS)
+        timeline = timeline_days.timeline_of(f"{silver_schema}.{v.SILVER_EVENTS}", due)
+        timeline = timeline.select(*REPLAY_COLUMNS)
         # Finding the events may take a shuffle, and they are read three times.
         events = staging.keep(worksets.events_of(timeline, due))
         prompted = prompted_sessions(due, events, keep_interactions, replay_char_budget, subject)

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens import vocabulary as v
-from sessionlens.operators import changes, timeline, worksets
 from sessionlens.operators import metrics as metric_operators
 from sessionlens.operators import summary as summary_operators
+from sessionlens.operators import timeline
+from sessionlens.plans import timeline_days
+from sessionlens.plans.timeline_days import BASE, DELIVERY, EVENT_DAY
 from sessionlens.sinks import tables
 from sessionlens.sources import bronze, schemas
 
 _KEY = ["session_id"]
-#: Partition column of the timeline table.
-EVENT_DAY = "event_day"
+#: Partition columns of the timeline table.
+LAYOUT = [EVENT_DAY, DELIVERY]
 
 
 def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> None:
@@ -40,13 +44,15 @@ def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> N
     write_timeline(raw, events_table)
 
 
-def by_day(events: DataFrame) -> DataFrame:
-    """Timeline rows with their day, laid out for a table partitioned by it.
+def by_day(events: DataFrame, delivery: str = BASE) -> DataFrame:
+    """Timeline rows with their day and delivery, laid out for a table partitioned by them.
 
     Rows of a day and session lie together, so a file holds few sessions and a change
     of some sessions rewrites only the days in which they have events.
     """
-    dated = events.withColumn(EVENT_DAY, F.to_date("event_ts"))
+    dated = events.withColumns(
+        {EVENT_DAY: F.to_date("event_ts"), DELIVERY: F.lit(delivery)}
+    )
     return dated.repartitionByRange(EVENT_DAY, "session_id").sortWithinPartitions(
         EVENT_DAY, "session_id", "event_ts"
     )
@@ -56,31 +62,65 @@ def write_timeline(raw: bronze.Bronze, events_table: str) -> None:
     """Replace the timeline of every session found in the logs or traces.
 
     The first timeline becomes the table itself, partitioned by day; later ones
-    rewrite the days that their sessions touch.
+    read and rewrite the days that their sessions touch, whatever brought the rows there.
     """
     spark = raw.logs.sparkSession
+
+    def within(rows: DataFrame) -> Column:
+        timeline_days.note(rows, events_table)
+        return timeline_days.days_of(events_table, rows)
+
     events = by_day(timeline.session_events(raw.traces, raw.logs))
-    tables.recover(spark, events_table)
-    if tables.exists(spark, events_table):
-        tables.replace(events, events_table, _KEY)
-    else:
-        tables.publish(events, events_table, partition_by=[EVENT_DAY])
+    _write(spark, events, events_table, _KEY, within)
 
 
-def merge_events(arrived: DataFrame, events_table: str) -> None:
-    """Bring newly arrived timeline rows into the table, whole session by session.
+def merge_events(arrived: DataFrame, events_table: str, delivery: str) -> None:
+    """Bring the rows of a delivery into the table, copies and late rows included.
 
-    A row that equals a stored one in every column is a repeated delivery. So the
-    result does not depend on how rows are split into batches, on their order, on
-    how late they come, or on whether a batch is given twice.
+    A delivery has partitions of its own, so nothing that is stored is read or written
+    again. One that comes a second time, after a failure, takes the place of its first
+    coming: each counts once. `delivery` names it: letters, digits, `_` and `-`.
     """
     spark = arrived.sparkSession
+
+    def within(rows: DataFrame) -> Column:
+        timeline_days.note(rows, events_table)
+        return F.col(DELIVERY) == delivery
+
+    _write(spark, by_day(arrived, delivery), events_table, [DELIVERY], within)
+
+
+def _write(spark: SparkSession, events: DataFrame, events_table: str, keys, within) -> None:
     tables.recover(spark, events_table)
     if not tables.exists(spark, events_table):
-        tables.publish(by_day(arrived.distinct()), events_table, partition_by=[EVENT_DAY])
-        return
-    with tables.Staging(spark, events_table.rpartition(".")[0] or "default") as staging:
-        new = staging.keep(arrived)
-        stored = worksets.events_of(spark.table(events_table), new).drop(EVENT_DAY)
-        both = changes.append(stored, new).distinct()
-        tables.replace(by_day(both), events_table, _KEY)
+        tables.publish(events, events_table, partition_by=LAYOUT)
+        timeline_days.build(spark, events_table)
+    elif DELIVERY in tables.partition_columns(spark, events_table):
+        tables.replace(events, events_table, keys, within=within)
+    else:
+        # A table of another layout has no such partition filter.
+        tables.evolve(events, events_table)
+        tables.replace(events, events_table, keys)
+
+
+def gather_deliveries(spark: SparkSession, events_table: str) -> int:
+    """Turn the deliveries of every day that has some into base rows; returns the days.
+
+    Streams leave a partition per day and batch; this joins them, in one change per call.
+    """
+    tables.recover(spark, events_table)
+    shown = {
+        tuple(pair.partition("=")[2] for pair in row[0].split("/"))
+        for row in spark.sql(f"SHOW PARTITIONS {events_table}").collect()
+    }
+    days = sorted({day for day, delivery in shown if delivery != BASE})
+    if not days:
+        return 0
+    dated = [date.fromisoformat(day) for day in days if not day.startswith("__HIVE")]
+    inside = F.col(EVENT_DAY).isin(dated)
+    if len(dated) < len(days):
+        inside = inside | F.col(EVENT_DAY).isNull()
+    events = spark.table(events_table).filter(inside)
+    gathered = events.withColumn(DELIVERY, F.lit(BASE))
+    tables.exchange_partitions(gathered, events.select(*LAYOUT).distinct(), events_table)
+    return len(days)

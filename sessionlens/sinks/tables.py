@@ -1,21 +1,25 @@
 """Writing tables: creation, whole-table publication, appends, upserts.
 
-Formats with row-level operations get MERGE and DELETE; for plain files the new
-contents are written next to the table first and then take its place, so readers
-and a failed run never see a half-written table.
+Formats with row-level operations get MERGE. For plain files the new contents of a
+partition are written beside the old ones and take their place by one change in the
+catalog (see `partitions`); a table without partitions is written anew and exchanges names
+with the old one, which leaves a moment without the table. `recover` finishes or undoes
+what a run that ended in between has left.
 """
 
 from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sessionlens.operators import changes
+from sessionlens.sinks import partitions
+from sessionlens.sinks.partitions import partition_columns, quoted, schema_of
 
 DEFAULT_FORMAT = "parquet"
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
@@ -30,18 +34,27 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 
 def ensure_table(
-    spark: SparkSession, name: str, schema: StructType, file_format: str = DEFAULT_FORMAT
+    spark: SparkSession,
+    name: str,
+    schema: StructType,
+    file_format: str = DEFAULT_FORMAT,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Create the table with a fixed schema unless it is there."""
+    """Create the table with a fixed schema and layout unless it is there."""
     recover(spark, name)
     if not exists(spark, name):
         empty = spark.createDataFrame([], schema)
-        empty.write.format(file_format).saveAsTable(name)
+        empty.write.format(file_format).partitionBy(*partition_by).saveAsTable(name)
 
 
-def ensure_table_like(name: str, frame: DataFrame, file_format: str = DEFAULT_FORMAT) -> None:
+def ensure_table_like(
+    name: str,
+    frame: DataFrame,
+    file_format: str = DEFAULT_FORMAT,
+    partition_by: Sequence[str] = (),
+) -> None:
     """Create the table with the schema of `frame` unless it is there."""
-    ensure_table(frame.sparkSession, name, frame.schema, file_format)
+    ensure_table(frame.sparkSession, name, frame.schema, file_format, partition_by)
 
 
 def table_format(spark: SparkSession, name: str) -> str:
@@ -79,21 +92,12 @@ class Staging:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-
-
 def _properties(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
     own = {row["key"]: row["value"] for row in rows}
     return {k: v for k, v in own.items() if not k.startswith(("spark.sql.", "transient_"))}
 
 
-def _quoted(text: str) -> str:
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def _rename(spark: SparkSession, name: str, new_name: str) -> None:
     # The new name is relative to the catalog of the table.
     relative = ".".join(new_name.split(".")[-2:])
@@ -101,10 +105,13 @@ def _rename(spark: SparkSession, name: str, new_name: str) -> None:
 
 
 def recover(spark: SparkSession, name: str) -> None:
-    """Undo a publication that ended between its two renames."""
+    """Undo a publication that ended between its two renames; finish or undo the changes
+    of partitions that ended early."""
     previous = f"{name}__previous"
     if not exists(spark, name) and exists(spark, previous):
         _rename(spark, previous, name)
+    if exists(spark, name) and partition_columns(spark, name):
+        partitions.recover(spark, name)
 
 
 def publish(
@@ -116,25 +123,18 @@ def publish(
     """Make `frame`, which may read the table, its new contents.
 
     A table that exists keeps its format, partitioning and properties; the other
-    arguments are for a new one. The partitions of a table are overwritten in place,
-    as not every catalog moves them when a table changes its name.
+    arguments are for a new one.
     """
     spark = frame.sparkSession
     if not exists(spark, name):
         frame.write.format(file_format).partitionBy(*partition_by).saveAsTable(name)
     elif partition_columns(spark, name):
-        with Staging(spark, _schema_of(name)) as staging:
-            contents = staging.keep(frame)
-            evolve(contents, name)
-            _overwrite(_in_order(contents, name), name, "static")
+        evolve(frame, name)
+        exchange_partitions(frame, None, name)
     else:
         _exchange(frame, name)
 
 
-def _schema_of(name: str) -> str:
-    return name.rpartition(".")[0] or "default"
-
-
 def _exchange(frame: DataFrame, name: str) -> None:
     """Write the new contents beside the table, then exchange the names."""
     spark = frame.sparkSession
@@ -142,7 +142,7 @@ def _exchange(frame: DataFrame, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     frame.write.format(table_format(spark, name)).saveAsTable(staged)
     if properties := _properties(spark, name):
-        pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+        pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ({pairs})")
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
     _rename(spark, name, previous)
@@ -150,17 +150,6 @@ def _exchange(frame: DataFrame, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
-def _overwrite(frame: DataFrame, name: str, mode: str) -> None:
-    """INSERT OVERWRITE of all partitions, or of those that `frame` has (dynamic)."""
-    conf, key = frame.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, mode)
-    try:
-        frame.write.insertInto(name, overwrite=True)
-    finally:
-        conf.set(key, before)
-
-
 def evolve(frame: DataFrame, name: str) -> None:
     """Add the columns of `frame` that the table does not have."""
     spark = frame.sparkSession
@@ -220,50 +209,63 @@ def merge_rows(frame: DataFrame, name: str, keys: list[str]) -> None:
 
 
 def replace(
-    frame: DataFrame, name: str, keys: list[str], touched: DataFrame | None = None
+    frame: DataFrame,
+    name: str,
+    keys: list[str],
+    touched: DataFrame | None = None,
+    within: Callable[[DataFrame], Column] | None = None,
 ) -> None:
     """Exchange all rows of the touched keys for those of `frame`.
 
-    Both frames are read twice where the format can delete rows in place.
+    `within` is called with the new rows, before anything is changed, and returns a condition
+    on partition columns that all stored rows of the touched keys and all new rows
+    fulfil, so that no other partition is read.
     """
     spark = frame.sparkSession
     if has_row_level_operations(spark, name):
-        delete_rows(frame if touched is None else touched, name, keys)
-        changes.with_keys(frame, keys).write.option("mergeSchema", "true").mode(
-            "append"
-        ).saveAsTable(name)
+        replace_rows(frame, frame if touched is None else touched, name, keys)
     elif partition_columns(spark, name):
-        _replace_in_partitions(frame, name, keys, touched)
+        _replace_in_partitions(frame, name, keys, touched, within)
     else:
+        if within is not None:
+            within(frame)
         publish(changes.replace_by_key(spark.table(name), frame, keys, touched), name)
 
 
 def _replace_in_partitions(
-    frame: DataFrame, name: str, keys: list[str], touched: DataFrame | None
+    frame: DataFrame,
+    name: str,
+    keys: list[str],
+    touched: DataFrame | None,
+    within: Callable[[DataFrame], Column] | None = None,
 ) -> None:
     """Rewrite only the partitions in which touched keys have or get rows."""
     spark, parts = frame.sparkSession, partition_columns(frame.sparkSession, name)
-    with Staging(spark, _schema_of(name)) as staging:
+    recover(spark, name)
+    with Staging(spark, schema_of(name)) as staging:
         rows = staging.keep(changes.with_keys(frame, keys))
         gone = staging.keep((rows if touched is None else touched).select(*keys).distinct())
         evolve(rows, name)
         target = spark.table(name)
-        held = target.join(gone, keys, "left_semi").select(*parts)
-        hit = staging.keep(held.unionByName(rows.select(*parts)).distinct())
+        if within is not None:
+            target = target.filter(within(rows))
+        hit = staging.keep(partitions_hit(target, rows, gone, keys, parts))
         inside = target.alias("t").join(hit.alias("h"), _same(parts, "t", "h"), "left_semi")
-        contents = staging.keep(
-            _in_order(changes.replace_by_key(inside, rows, keys, gone), name)
-        )
-        left = contents.select(*parts).distinct()
-        empty = hit.alias("h").join(left.alias("l"), _same(parts, "h", "l"), "left_anti")
-        _overwrite(contents, name, "dynamic")
-        # One row per partition that lost its last row.
-        for row in empty.collect():
-            pairs = ", ".join(
-                f"`{part}` = {'NULL' if row[part] is None else _quoted(str(row[part]))}"
-                for part in parts
-            )
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({pairs})")
+        exchange_partitions(changes.replace_by_key(inside, rows, keys, gone), hit, name)
+
+
+def exchange_partitions(contents: DataFrame, touched: DataFrame | None, name: str) -> None:
+    """Make `contents` the rows of the touched partitions of a table, or of all."""
+    spark = contents.sparkSession
+    partitions.exchange(_in_order(contents, name), touched, name, table_format(spark, name))
+
+
+def partitions_hit(
+    target: DataFrame, rows: DataFrame, gone: DataFrame, keys: list[str], parts: list[str]
+) -> DataFrame:
+    """The partitions of `target` that hold keys of `gone`, and those of the new rows."""
+    held = target.join(gone, keys, "left_semi").select(*parts)
+    return held.unionByName(rows.select(*parts)).distinct()
 
 
 def _same(columns: Sequence[str], left: str, right: str) -> Column:
@@ -271,10 +273,25 @@ def _same(columns: Sequence[str], left: str, right: str) -> Column:
     return functools.reduce(lambda a, b: a & b, equal)
 
 
-def delete_rows(gone: DataFrame, name: str, keys: list[str]) -> None:
-    """DELETE of the storage format for all rows whose keys occur in `gone`."""
-    on = " AND ".join(f"t.{key} = g.{key}" for key in keys)
-    gone.sparkSession.sql(
-        f"DELETE FROM {name} AS t WHERE EXISTS (SELECT 1 FROM {{gone}} AS g WHERE {on})",
-        gone=gone.select(*keys).distinct(),
+def replace_rows(frame: DataFrame, touched: DataFrame, name: str, keys: list[str]) -> None:
+    """One MERGE of the storage format: rows of the touched keys go, those of `frame` come.
+
+    A source row either names a key whose rows are deleted, or is a new row, whose
+    key matches nothing; so no reader and no crash sees the one without the other.
+    """
+    target = name.split(".")[-1]
+    rows = changes.with_keys(frame, keys)
+    named = [F.col(key).alias(f"_gone_{key}") for key in keys]
+    source = touched.select(*named).distinct().unionByName(rows, allowMissingColumns=True)
+    on = [F.col(f"{target}.{key}") == F.col(f"source._gone_{key}") for key in keys]
+    is_row = F.col(f"source._gone_{keys[0]}").isNull()
+    (
+        source.alias("source")
+        .mergeInto(name, functools.reduce(lambda a, b: a & b, on))
+        .whenMatched()
+        .delete()
+        .whenNotMatched(is_row)
+        .insert({c: F.col(f"source.{c}") for c in rows.columns})
+        .withSchemaEvolution()
+        .merge()
     )

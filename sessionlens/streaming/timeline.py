@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +15,7 @@ from sessionlens.plans.silver import merge_events
 from sessionlens.sources import schemas
 from sessionlens.sources.bronze import Bronze
 
+
 def stream_bronze(spark: SparkSession, directory: str, files_per_trigger: int = 1000) -> Bronze:
     """Streams over the files that arrive in `<directory>/<table>`."""
 
@@ -37,13 +40,14 @@ def write_timeline(
 ) -> StreamingQuery:
     """Keep `table` as the batch job would write it from all rows that have arrived.
 
-    Each batch replaces the sessions it touches, so no row is too late, and a batch
-    that runs again after a failure changes nothing.
+    Each batch is a delivery, named after the checkpoint and its number: no row is too late,
+    copies stay copies, and a batch that runs again after a failure counts once.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     writer = (
         events.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: merge_events(batch, table))
+        .foreachBatch(lambda batch, number: merge_events(batch, table, f"{stream}-{number}"))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -178,7 +178,7 @@ def test_silver_tables(spark, bronze, schema_name):
         (v.SILVER_SUMMARY, schemas.SESSION_SUMMARY),
         (v.SILVER_EVENTS, schemas.SESSION_EVENTS),
     ):
-        stored = silver[name].drop("event_day")
+        stored = silver[name].drop("event_day", "delivery")
         assert stored.schema.simpleString() == schema.simpleString()
     assert [r.total_cost_usd for r in silver[v.SILVER_METRICS].collect()] == [0.5]
     costs = {r.session_id: r.total_cost_usd for r in silver[v.SILVER_SUMMARY].collect()}

@@ -1,0 +1,216 @@
+"""Changes of partitions that end at any step, and the day index that bounds their reads."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import event, events, log, span, summaries, session
+from sessionlens import vocabulary as v
+from sessionlens.operators import worksets
+from sessionlens.plans import silver, timeline_days
+from sessionlens.sinks import partitions, tables
+from sessionlens.sources import bronze as readers
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.fixture
+def table(spark, schema_name):
+    """Sessions a and b over three partitions; one is undated, one holds only a."""
+    tables.ensure_schema(spark, schema_name)
+    name = f"{schema_name}.t"
+    rows = [("a", 1, "x"), ("b", 1, "x"), ("a", 2, None), ("b", 2, "z 1/%"), ("a", 3, "only a")]
+    spark.createDataFrame(rows, "k string, n int, p string").write.partitionBy("p").saveAsTable(name)
+    return name
+
+
+def _rows(spark, name):
+    return sorted(((r.k, r.n, r.p) for r in spark.table(name).collect()), key=str)
+
+
+NEW = [("a", 10, "x"), ("a", 11, "new"), ("a", 12, None)]
+
+
+def _expected(before):
+    return sorted([r for r in before if r[0] != "a"] + NEW, key=str)
+
+
+def _change(spark, name):
+    tables.replace(spark.createDataFrame(NEW, "k string, n int, p string"), name, ["k"])
+
+
+def _beside(spark, name):
+    schema = name.partition(".")[0]
+    return {r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").collect()}
+
+
+def test_a_change_keeps_other_rows_and_one_former_version(spark, table):
+    before = _rows(spark, table)
+    _change(spark, table)
+    assert _rows(spark, table) == _expected(before)
+    shown = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    assert "p=only a" not in shown and "p=new" in shown
+    for _ in range(2):
+        _change(spark, table)
+        assert _rows(spark, table) == _expected(before)
+        # The table, and the journal of the last change.
+        assert len(_beside(spark, table)) == 2
+
+
+def test_a_change_without_rows_or_partitions(spark, table):
+    before = _rows(spark, table)
+    nothing = spark.createDataFrame([], "k string, n int, p string")
+    tables.replace(nothing, table, ["k"])
+    assert _rows(spark, table) == before
+    gone = spark.createDataFrame([("a",), ("b",)], "k string")
+    tables.replace(nothing, table, ["k"], touched=gone)
+    assert _rows(spark, table) == []
+    _change(spark, table)
+    assert _rows(spark, table) == sorted(NEW, key=str)
+
+
+def test_publication_of_a_partitioned_table(spark, table):
+    tables.publish(spark.createDataFrame(NEW, "k string, n int, p string"), table)
+    assert _rows(spark, table) == sorted(NEW, key=str)
+
+
+@pytest.mark.parametrize("step", range(0, 40, 3))
+def test_a_change_that_ends_at_any_step(spark, table, monkeypatch, step):
+    """Whatever statement fails: readers find the old or new rows, recovery one of both whole."""
+    before, after = _rows(spark, table), _expected(_rows(spark, table))
+    left = [step]
+    sql = type(spark).sql
+
+    def failing(self, text, *args, **kwargs):
+        changes = not text.startswith(("DESCRIBE", "SHOW"))
+        if changes:
+            if left[0] == 0:
+                raise Stopped(text)
+            left[0] -= 1
+        return sql(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    try:
+        _change(spark, table)
+        ended = True
+    except Stopped:
+        ended = False
+    monkeypatch.setattr(type(spark), "sql", sql)
+    seen = _rows(spark, table)
+    for part in {r[2] for r in before}:
+        here = [r for r in seen if r[2] == part]
+        assert here in ([r for r in rows if r[2] == part] for rows in (before, after))
+    assert {r[0] for r in seen} == {"a", "b"}
+    if partitions.unfinished(spark, table):
+        with pytest.raises(RuntimeError):
+            partitions.exchange(spark.table(table), None, table, "parquet")
+    tables.recover(spark, table)
+    found = _rows(spark, table)
+    assert found in (before, after) and (not ended or found == after)
+    _change(spark, table)
+    assert _rows(spark, table) == after
+
+
+@pytest.mark.parametrize("writer", ["saveAsTable", "save"])
+def test_a_change_that_ends_while_it_writes(spark, table, monkeypatch, writer):
+    before = _rows(spark, table)
+    kind = type(spark.range(1).write)
+    write = getattr(kind, writer)
+
+    def failing(self, place=None, *args, **kwargs):
+        if writer == "save" or "__journal_" in place:
+            raise Stopped(place)
+        return write(self, place, *args, **kwargs)
+
+    monkeypatch.setattr(kind, writer, failing)
+    with pytest.raises(Stopped):
+        _change(spark, table)
+    monkeypatch.setattr(kind, writer, write)
+    assert _rows(spark, table) == before
+    tables.recover(spark, table)
+    assert _rows(spark, table) == before and len(_beside(spark, table)) == 1
+    _change(spark, table)
+    assert _rows(spark, table) == _expected(before)
+
+
+# ---- the day index -----------------------------------------------------------------
+
+
+@pytest.fixture
+def timeline(spark, bronze, schema_name):
+    """A timeline table of three days and undated events."""
+    logs = [log(v.LOG_USER_PROMPT, s, ts=day * 86_400 + i) for s, day in
+            (("s1", 0), ("s2", 1), ("s2", 2), ("s3", 9)) for i in range(3)]
+    logs.append(log(v.LOG_USER_PROMPT, "s3", ts=None))
+    tables.ensure_schema(spark, schema_name)
+    name = f"{schema_name}.{v.SILVER_EVENTS}"
+    raw = readers.from_catalog(spark, bronze([span(v.SPAN_TOOL)], logs))
+    silver.write_timeline(raw, name)
+    return name
+
+
+def _partition_filters(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+
+
+def _days_read(frame):
+    return {re.search(r"event_day=([^/]*)", file).group(1) for file in frame.inputFiles()}
+
+
+def test_work_sets_read_only_their_days(spark, timeline):
+    due = summaries(spark, [session("s2"), session("absent")])
+    pruned = timeline_days.timeline_of(timeline, due)
+    assert _days_read(pruned) == {"2024-03-02", "2024-03-03"}
+    found = worksets.events_of(pruned, due)
+    assert all("event_day" in f for f in _partition_filters(found)[:1])
+    whole = worksets.events_of(spark.table(timeline), due)
+    assert sorted(found.collect()) == sorted(whole.collect())
+    undated = timeline_days.timeline_of(timeline, summaries(spark, [session("s3")]))
+    assert _days_read(undated) == {"2024-03-10", "__HIVE_DEFAULT_PARTITION__"}
+    nobody = timeline_days.timeline_of(timeline, summaries(spark, [session("absent")]))
+    assert nobody.count() == 0
+
+
+def test_many_days_become_a_range(spark, timeline, monkeypatch):
+    monkeypatch.setattr(timeline_days, "LISTED_DAYS", 1)
+    pruned = timeline_days.timeline_of(timeline, summaries(spark, [session("s2")]))
+    assert _days_read(pruned) == {"2024-03-02", "2024-03-03"}
+
+
+def test_a_timeline_without_index_is_read_whole(spark, schema_name):
+    tables.ensure_schema(spark, schema_name)
+    name = f"{schema_name}.e"
+    events(spark, [event(v.LLM_CALL, 1)]).write.saveAsTable(name)
+    assert timeline_days.timeline_of(name, summaries(spark, [session("s1")])).count() == 1
+
+
+def test_writers_read_only_the_days_they_change(spark, bronze, timeline, monkeypatch):
+    seen = []
+    hit = tables.partitions_hit
+
+    def watched(target, rows, gone, keys, parts):
+        seen.append((_partition_filters(target), _days_read(target)))
+        return hit(target, rows, gone, keys, parts)
+
+    monkeypatch.setattr(tables, "partitions_hit", watched)
+    before = spark.table(timeline).count()
+    raw = readers.from_catalog(spark, bronze([], [log(v.LOG_USER_PROMPT, "s2", ts=86_400 * 4)]))
+    silver.write_timeline(raw, timeline)
+    assert seen[-1][0][0] and seen[-1][1] == {"2024-03-02", "2024-03-03"}
+    assert spark.table(timeline).count() == before - 6 + 1
+    silver.merge_events(events(spark, [event(v.LLM_CALL, 5, "s9")]), timeline, "q-7")
+    assert "delivery" in seen[-1][0][0] and seen[-1][1] == set()
+    late = summaries(spark, [session("s9")])
+    assert _days_read(timeline_days.timeline_of(timeline, late)) == {"2024-03-01"}
+
+
+def test_an_index_is_made_anew_where_it_is_missing(spark, timeline):
+    spark.sql(f"DROP TABLE {timeline_days.index_name(timeline)}")
+    silver.merge_events(events(spark, [event(v.LLM_CALL, 5, "s1")]), timeline, "q-1")
+    known = spark.table(timeline_days.index_name(timeline))
+    assert {r.session_id for r in known.collect()} == {"s1", "s2", "s3"}
+    assert known.filter(F.col("undated")).count() == 1

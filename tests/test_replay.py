@@ -143,7 +143,7 @@ def test_offsets_know_a_prefix_without_prompt(spark):
         event("ZZ_LATER", 1, "none"),
         event(v.LLM_CALL, 1, "silent"),
     ]
-    offsets = ordering.bucket_offsets(events(spark, rows)).collect()
+    offsets = ordering.leaf_offsets(events(spark, rows)).collect()
     assert {r.session_id: (r.has_prefix, r.num_interactions) for r in offsets} == {
         "prefix": (1, 2),
         "none": (0, 1),
@@ -162,9 +162,7 @@ def test_a_long_tail_is_held_back_before_the_shuffle(spark):
     rows = [event(v.USER_PROMPT, 100 * i) for i in range(5)]
     rows += [event(v.LLM_CALL, 400 + i, detail_name=f"n{i}") for i in range(3000)]
     table = events(spark, rows)
-    placed = replay._place_in_session(
-        replay._combined(table, 60, printed_only=True), table, 60, keep=2
-    )
+    placed = replay._placed_slots(table, 60, keep=2)
     lines = replay.lines_within(2000)
     parts = placed.select("*", F.inline(replay._parts(2, lines))).filter("low <= high")
     tail = parts.filter("part = 2").agg(F.sum(F.col("high") - F.col("low") + 1)).first()[0]

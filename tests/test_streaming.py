@@ -2,10 +2,12 @@
 
 import pytest
 
-from conftest import log, logs, metrics, point, span, traces
+from conftest import event, events, log, logs, metrics, point, span, traces
 from sessionlens import vocabulary as v
 from sessionlens.operators import segments, timeline
+from sessionlens.plans import silver
 from sessionlens.sinks import tables
+from sessionlens.sources import bronze as readers
 from sessionlens.streaming import timeline as streaming
 
 LOGS = [
@@ -40,6 +42,15 @@ def _rows(frame):
     return sorted(str(tuple(row)) for row in frame.collect())
 
 
+def _run_stream(spark, folder, table, checkpoint):
+    events = streaming.stream_events(streaming.stream_bronze(spark, folder))
+    query = streaming.write_timeline(events, table, checkpoint, available_now=True)
+    query.awaitTermination()
+    assert query.exception() is None
+    spark.catalog.refreshTable(table)  # the stream has a session of its own
+    return _rows(spark.table(table).drop(*silver.LAYOUT))
+
+
 @pytest.fixture
 def events_table(spark, schema_name):
     tables.ensure_schema(spark, schema_name)
@@ -49,26 +60,54 @@ def events_table(spark, schema_name):
 def test_stream_equals_batch_row_for_row(spark, tmp_path, events_table):
     folder, checkpoint = _raw(spark, str(tmp_path)), f"{tmp_path}/checkpoint"
 
-    def run():
-        events = streaming.stream_events(streaming.stream_bronze(spark, folder))
-        query = streaming.write_timeline(events, events_table, checkpoint, available_now=True)
-        query.awaitTermination()
-        assert query.exception() is None
-        spark.catalog.refreshTable(events_table)  # the stream has a session of its own
-        return _rows(spark.table(events_table).drop("event_day"))
-
-    def batch(rows):
-        return _rows(timeline.session_events(traces(spark, SPANS), logs(spark, rows)))
+    def batch():
+        table = f"{events_table}_batch{len(list(tmp_path.iterdir()))}"
+        silver.write_timeline(readers.from_files(spark, folder), table)
+        return _rows(spark.table(table).drop(*silver.LAYOUT))
 
-    assert run() == batch(LOGS)
-    # The same records again, a new event, and one that is days late.
+    assert _run_stream(spark, folder, events_table, checkpoint) == batch()
+    # The same records again, three equal ones, a new event, and one that is days late.
     newer = log(v.LOG_USER_PROMPT, "s2", ts=500_000, prompt="d")
     late = log(v.LOG_USER_PROMPT, "s2", ts=-500_000, prompt="e")
-    _write(spark, folder, [*LOGS, newer, late])
-    assert run() == batch([*LOGS, newer, late])
-    assert tables.partition_columns(spark, events_table) == ["event_day"]
-    shown = spark.sql(f"SHOW TABLES IN {events_table.split('.')[0]}").collect()
-    assert [table.tableName for table in shown] == ["events"]
+    same = [log(v.LOG_USER_PROMPT, "s4", ts=5, prompt="again")] * 3
+    _write(spark, folder, [*LOGS, newer, late, *same])
+    streamed = _run_stream(spark, folder, events_table, checkpoint)
+    again = timeline.session_events(traces(spark, SPANS), logs(spark, [*LOGS, *LOGS, newer, late, *same]))
+    assert streamed == _rows(again)
+    assert sum("again" in row for row in streamed) == 3
+    # The batch job over the very same files replaces the sessions and changes nothing.
+    silver.write_timeline(readers.from_files(spark, folder), events_table)
+    assert _rows(spark.table(events_table).drop(*silver.LAYOUT)) == streamed
+    assert tables.partition_columns(spark, events_table) == silver.LAYOUT
+
+
+def _delivered(spark, table):
+    return _rows(spark.table(table).select("session_id", "event_ts", "event_type"))
+
+
+def test_a_delivery_counts_once_and_reads_no_other(spark, events_table):
+    first = events(spark, [event(v.LLM_CALL, 5)] * 3 + [event(v.LLM_CALL, 90_000, "s2")])
+    second = events(spark, [event(v.LLM_CALL, 5), event(v.TOOL_CALL, None)])
+    silver.merge_events(first, events_table, "q-0")
+    silver.merge_events(second, events_table, "q-1")
+    before = _delivered(spark, events_table)
+    assert len(before) == 6
+    files = set(spark.table(events_table).filter("delivery = 'q-0'").inputFiles())
+    silver.merge_events(second, events_table, "q-1")
+    assert _delivered(spark, events_table) == before
+    assert set(spark.table(events_table).filter("delivery = 'q-0'").inputFiles()) == files
+    assert silver.gather_deliveries(spark, events_table) == 3
+    assert _delivered(spark, events_table) == before
+    shown = {r[0] for r in spark.sql(f"SHOW PARTITIONS {events_table}").collect()}
+    assert {partition.split("/")[1] for partition in shown} == {"delivery=base"}
+    assert silver.gather_deliveries(spark, events_table) == 0
+
+
+def test_deliveries_into_a_table_without_partitions(spark, events_table):
+    events(spark, [event(v.LLM_CALL, 1, "old")]).write.saveAsTable(events_table)
+    for _ in range(2):
+        silver.merge_events(events(spark, [event(v.LLM_CALL, 2)] * 2), events_table, "q-0")
+    assert spark.table(events_table).count() == 3
 
 
 def test_closed_segments_equal_those_of_the_batch(spark, tmp_path, schema_name):
