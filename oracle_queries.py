@@ -571,6 +571,20 @@ _QUERIES: dict[str, str] = {
 }
 
 
+# Jobs on stored tables, and their frame forms.
+_SAME_AS = {
+    "metrics_by_temporality": "session_metrics",
+    "stored_silver_summary": "session_summary",
+    "stored_silver_metrics": "session_metrics",
+    "stored_upsert": "upsert_merge",
+    "stored_replace_by_session": "replace_by_session",
+    "stored_replace_tools": "replace_tools",
+    "stored_append_evolve": "append_evolve",
+    "stored_deliveries": "session_events",
+    "stored_work_set": "events_of_work_set",
+    "streamed_timeline": "session_events",
+}
+
 # Sums and averages of doubles depend on the order of the rows, so both sides round
 # these columns to nine decimals.
 _SUMMARY_DOUBLES = """cache_hit_rate avg_ttft_ms avg_llm_duration_ms tool_success_rate
@@ -617,4 +631,5 @@ def _with(name: str, query: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(name, query) for name, query in _QUERIES.items()}
+    found = {name: _with(name, query) for name, query in _QUERIES.items()}
+    return found | {name: found[frame_form] for name, frame_form in _SAME_AS.items()}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import stored_queries as stored
 import testdata_adapter as adapter
 from sessionlens.functions.attributes import SESSION_KEY, attr, first_event_attr
 from sessionlens.operators import (
@@ -21,6 +22,7 @@ from sessionlens.operators import (
     segments,
     signals,
     summary,
+    temporality,
     timeline,
     worksets,
 )
@@ -285,6 +287,9 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "cost_by_model": lambda i: metrics.cost_by_model(i.points),
     "primary_model": lambda i: metrics.primary_model(i.points),
     "session_metrics": lambda i: i.metrics,
+    "metrics_by_temporality": lambda i: metrics.session_metrics(
+        temporality.as_deltas(adapter.mixed_metrics(i.spark, i.sf_dir))
+    ),
     "timeline_prompts": _timeline(timeline.prompt_events, "logs"),
     "timeline_llm": _timeline(timeline.llm_events, "logs"),
     "timeline_tool_calls": _timeline(timeline.tool_call_events, "traces"),
@@ -322,6 +327,25 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "append_evolve": _append_evolve,
     "write_once_scores": _write_once,
     "due_sessions": _due_sessions,
+    "stored_silver_summary": stored.silver_summary,
+    "stored_silver_metrics": stored.silver_metrics,
+    "stored_upsert": lambda i: stored.upserted(
+        i, _by_session(_old(i.events)), _by_session(_new(i.events)), ["session_id"]
+    ),
+    "stored_replace_by_session": lambda i: stored.replaced_timeline(
+        i, _old(i.events), _new(i.events)
+    ).select(*_EVENT_KEYS),
+    "stored_replace_tools": lambda i: stored.replaced(
+        i, _by_tool(_old(i.events)), _by_tool(_new(i.events)), _new(i.events).select("session_id")
+    ),
+    "stored_append_evolve": lambda i: stored.appended(
+        i,
+        _old(i.events).select(*_EVENT_KEYS),
+        _new(i.events).select(*_EVENT_KEYS, "error_category", "decision_source"),
+    ),
+    "stored_deliveries": stored.delivered_timeline,
+    "stored_work_set": lambda i: stored.work_set_events(i, _due_sessions(i)).select(*_EVENT_KEYS),
+    "streamed_timeline": stored.streamed_timeline,
     "idle_segments": lambda i: segments.idle_segments(i.events, GAP_S),
     "gold_rollup": lambda i: rollups.signal_rollup(i.human_signals),
     "daily_scores": lambda i: rollups.daily_scores(i.rule_scores),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sessionlens import vocabulary as v
 from sessionlens.operators import metrics as metric_operators
 from sessionlens.operators import summary as summary_operators
-from sessionlens.operators import timeline
+from sessionlens.operators import temporality, timeline
 from sessionlens.plans import timeline_days
 from sessionlens.plans.timeline_days import BASE, DELIVERY, EVENT_DAY
 from sessionlens.sinks import tables
@@ -35,7 +35,8 @@ def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> N
     tables.ensure_table(spark, metrics_table, schemas.SESSION_METRICS)
     tables.ensure_table(spark, summary_table, schemas.SESSION_SUMMARY)
     with tables.Staging(spark, silver_schema) as staging:
-        by_session = staging.keep(metric_operators.session_metrics(raw.metrics))
+        points = temporality.as_deltas(raw.metrics)
+        by_session = staging.keep(metric_operators.session_metrics(points))
         tables.upsert(by_session, metrics_table, _KEY)
         summary = staging.keep(summary_operators.session_summary(raw.traces, by_session))
         tables.upsert(summary, summary_table, _KEY)

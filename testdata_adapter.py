@@ -33,6 +33,7 @@ _DECISION = (
 )
 _SUCCESS = "CASE WHEN k % 10 <> 0 THEN 'true' ELSE 'false' END"
 _NO_ATTRIBUTES = "CAST(map() AS MAP<STRING, STRING>)"
+_DAY_NANOS = 86_400 * 10**9
 _NO_EVENTS = "CAST(array() AS ARRAY<STRUCT<attributes: MAP<STRING, STRING>>>)"
 
 
@@ -172,7 +173,7 @@ def _point(name: str, value: str, **attributes: str) -> str:
     )
 
 
-def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _point_rows() -> dict[str, list[str]]:
     model = {
         "model": "concat('m', k % 3)",
         "effort": "CASE WHEN k % 2 = 0 THEN 'high' ELSE 'low' END",
@@ -187,7 +188,42 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cents / 100D",
         type="CASE WHEN k % 2 = 1 THEN 'cli' ELSE 'user' END",
     )
-    return _expand(spark, sf_dir, {"view": [cost, *usage], "click": [active]})
+    return {"view": [cost, *usage], "click": [active]}
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _expand(spark, sf_dir, _point_rows())
+
+
+def _as_running_totals(points: DataFrame) -> DataFrame:
+    """The points of every other user as running totals, in counters that start daily."""
+    day = f"(time div {_DAY_NANOS}) * {_DAY_NANOS}"
+    located = points.selectExpr(
+        "name", "sum.value AS value", "sum.attributes AS attributes", "time",
+        f"{day} AS start", "user_id % 2 = 0 AS running",
+        "to_json(sum.attributes) AS series",
+    )
+    total = (
+        "CASE WHEN running THEN sum(value) OVER "
+        "(PARTITION BY name, series, start, running ORDER BY time) ELSE value END"
+    )
+    return located.selectExpr(
+        "name",
+        f"named_struct('start_time_unix_nano', start, 'time_unix_nano', time, 'value', {total}, "
+        "'attributes', attributes, 'aggregation_temporality', "
+        "CASE WHEN running THEN 'AGGREGATION_TEMPORALITY_CUMULATIVE' "
+        "ELSE 'AGGREGATION_TEMPORALITY_DELTA' END, 'is_monotonic', true) AS sum",
+        f"named_struct('attributes', {_NO_ATTRIBUTES}) AS resource",
+    )
+
+
+def mixed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of `metrics`, half of the users' with cumulative temporality."""
+    timed = {
+        kind: [row[:-1] + ", 'time', micros * 1000, 'user_id', user_id)" for row in rows]
+        for kind, rows in _point_rows().items()
+    }
+    return _as_running_totals(_expand(spark, sf_dir, timed))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:

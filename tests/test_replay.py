@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,77 @@ def test_a_long_tail_is_held_back_before_the_shuffle(spark):
     for budget in (2000, 60_000):
         text = replay.session_replay(table, budget=budget).first().replay_text
         assert text == replay.session_replay(table, budget=10**6).first().replay_text[:budget]
+
+
+def _crowded(kind):
+    """A session with 100,000 events in one minute, or as many without time."""
+    rows = []
+    for i in range(100_000):
+        ts = None if kind == "timeless" else 60 + (i % 60_000) / 1000 + (i // 60_000) / 3000
+        name = v.USER_PROMPT if i % 25_000 == 0 else (v.LLM_CALL, v.TOOL_CALL)[i % 2]
+        rows.append(("s1", ts, name, f"n{i % 977}", float(i % 3)))
+    return rows
+
+
+@pytest.fixture(scope="module", params=["one minute", "timeless"])
+def crowd(request, spark):
+    plain = _crowded(request.param)
+    frame = spark.createDataFrame(plain, "session_id string, s double, event_type string, "
+                                  "detail_name string, duration_ms double")
+    start = F.lit(at(0).isoformat()).cast("timestamp")
+    made = frame.withColumn("event_ts", F.timestamp_micros(
+        F.unix_micros(start) + F.round(F.col("s") * 1_000_000).cast("long")))
+    others = ("model string", "input_tokens long", "output_tokens long", "cost_usd double",
+              "error_category string", "content_preview string")
+    for name, kind in map(str.split, others):
+        made = made.withColumn(name, F.lit(None).cast(kind))
+    rows = [
+        event(kind, None if s is None else s, detail_name=name, duration_ms=ms)
+        for _, s, kind, name, ms in plain
+    ]
+    if request.param == "one minute":
+        for row, (_, s, *_rest) in zip(rows, plain):
+            row["event_ts"] = at(0).replace(microsecond=0) + timedelta(microseconds=round(s * 1e6))
+    return made, rows
+
+
+def test_no_window_group_of_a_crowded_session_is_large(spark, crowd):
+    frame, _ = crowd
+    offsets = ordering.leaf_offsets(frame)
+    slots = ordering.in_leaves(replay._slots(frame, ordering.BUCKET_S), offsets)
+    for groups in (
+        slots.groupBy("session_id", "b", "leaf"),
+        ordering._cells(frame, ordering.BUCKET_S).groupBy("session_id", "b"),
+        offsets.groupBy("session_id"),
+    ):
+        assert groups.count().agg(F.max("count")).first()[0] < 10_000
+
+
+def test_replay_of_a_crowded_session(spark, crowd):
+    frame, rows = crowd
+    assert replay.session_replay(frame).first().replay_text == model.replay(rows)
+
+
+def test_index_of_a_crowded_session(spark, crowd):
+    frame, rows = crowd
+    found = replay.with_interaction_index(frame).groupBy("interaction_index").count().collect()
+    sizes = {r.interaction_index: r["count"] for r in found}
+    assert sizes == {i: len(group) for i, group in enumerate(model.interactions(rows))}
+
+
+@pytest.mark.parametrize("most", [1, 4])
+def test_small_leaves_change_nothing(spark, most):
+    rows = _random_rows(11, sessions=3, count=150)
+    table = events(spark, rows)
+    texts = {r.session_id: r.replay_text for r in replay.replay_lines(table, most=most)
+             .groupBy("session_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(
+                 F.struct("part", "position", "line"))), lambda x: x["line"]), "\n")
+                 .alias("replay_text")).collect()}
+    expected = {name: model.replay(own) for name, own in _by_session(rows).items()}
+    assert {name: text[:v.REPLAY_CHAR_BUDGET] for name, text in texts.items()} == expected
+    lines = replay.compressed_interactions(table, most=most).collect()
+    assert {(r.session_id, r.interaction_index): r.line for r in lines} == {
+        (name, number): model.summary(group)
+        for name, own in _by_session(rows).items()
+        for number, group in enumerate(model.interactions(own))
+    }
