@@ -121,7 +121,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
     if ids["least"] is not None:
         count = ids["n"] // BLOCK_ROWS + 1
         spread = F.lit(count / (ids["most"] - ids["least"] + 1))
-        place = F.floor((F.col("doc_id") - F.lit(ids["least"])) * spread).cast("long")
+        # The distance of two ids may be twice as wide as an id.
+        wide = "decimal(20,0)"
+        distance = F.col("doc_id").cast(wide) - F.lit(str(ids["least"])).cast(wide)
+        place = F.floor(distance.cast("double") * spread).cast("long")
         block = F.coalesce(place, F.lit(-1).cast("long"))
     rows = rows.withColumn("block", block)
     # Null ids sort first, as a block of their own.

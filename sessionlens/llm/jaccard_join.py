@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sessionlens.llm.components import components
-from sessionlens.llm.staging import stage
+from sessionlens.llm.staging import discard, stage
 from sessionlens.llm.texts import mixed, set_aside, text_slices, with_batch_columns
 from sessionlens.llm.words import shingle_sets
 
@@ -107,8 +107,13 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return common >= threshold * (len(a) + len(b) - common)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text); the hash tells texts under one doc_id apart."""
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+
+
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands): the class of each document and where to look for others."""
+    """(doc_id, text_hash, key, bands): the class of each document and where to look for others."""
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         keys, bands = [], []
@@ -131,14 +136,12 @@ def _signed(docs: DataFrame) -> DataFrame:
         T.StructField("key", T.StringType(), True),
         T.StructField("bands", T.ArrayType(T.LongType(), True), True),
     ]
-    return with_batch_columns(docs.select("doc_id", "text"), compute, fields, ["doc_id"])
+    return with_batch_columns(_rows(docs), compute, fields, ["doc_id", "text_hash"])
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(band, hash, doc_id, key, copies, blocks): members of buckets of two or more."""
-    rows = classes.select(
-        "key", "copies", "doc_id", F.posexplode("bands").alias("band", "hash")
-    )
+    """(band, hash, key, copies, blocks): members of buckets of two or more."""
+    rows = classes.select("key", "copies", F.posexplode("bands").alias("band", "hash"))
     counted = rows.groupBy("band", "hash").agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("key")).alias("x"),
@@ -165,7 +168,7 @@ def _groups(buckets: DataFrame) -> DataFrame:
     met = buckets.withColumn("own", own).withColumn("other", other)
     return met.select(
         "band", "hash", F.least("own", "other").alias("left"),
-        F.greatest("own", "other").alias("right"), "own", "key", "copies", "doc_id",
+        F.greatest("own", "other").alias("right"), "own", "key", "copies",
     )
 
 
@@ -182,14 +185,12 @@ class _Texts:
     """Shingle sets and signatures of the texts of a batch, each computed once."""
 
     def __init__(self):
-        self.known: dict[str, tuple | None] = {}
+        self.known: dict[str, tuple] = {}
 
     def add(self, members: list[dict]) -> None:
-        new = {m["key"]: m["text"] or "" for m in members if m["key"] not in self.known}
+        new = {m["key"]: m["text"] for m in members if m["key"] not in self.known}
         for key, shingles in zip(new, shingle_sets(list(new.values()), WIDTH)):
-            # Another text under the same doc_id is not the one that was signed.
-            same = set_key(shingles) == key
-            self.known[key] = (shingles, signature(shingles)) if same else None
+            self.known[key] = (shingles, signature(shingles))
 
 
 def _pairs_of(own: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,7 +203,7 @@ def _pairs_of(own: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.nd
 def _linked(group: dict, texts: _Texts, threshold: float, tolerance: float) -> list[tuple]:
     """(key, links, root) of the members of a group that have a link."""
     texts.add(group["members"])
-    members = {m["key"]: m for m in group["members"] if texts.known[m["key"]]}
+    members = {m["key"]: m for m in group["members"]}
     keys = sorted(members)
     if len(keys) < 2:
         return []
@@ -234,11 +235,19 @@ def _linked(group: dict, texts: _Texts, threshold: float, tolerance: float) -> l
     return [(k, links[n], keys[find(n)]) for n, k in enumerate(keys) if links[n]]
 
 
-def _links(groups: DataFrame, docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    ids = docs.select(F.col("doc_id").alias("id"), "text")
+def _class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, text): one text of each class, found by the row that stands for it."""
+    wanted = classes.select(
+        F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"), "key"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    return _rows(docs).join(wanted, same).select("key", "text").dropDuplicates(["key"])
+
+
+def _links(groups: DataFrame, texts: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     member = F.struct("key", "copies", "own", "text")
     gathered = (
-        groups.join(ids, F.col("doc_id").eqNullSafe(F.col("id")))
+        groups.join(texts, "key")
         .groupBy("band", "hash", "left", "right")
         .agg(F.collect_list(member).alias("members"))
     )
@@ -260,51 +269,68 @@ def _links(groups: DataFrame, docs: DataFrame, threshold: float, tolerance: floa
     return gathered.mapInArrow(run, _LINKS)
 
 
-def jaccard_classes(
-    docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE
-) -> DataFrame:
-    """Per document: class_id, n_links, n_copies.
-
-    `class_id` is the least doc_id of all documents that links join to it; `n_links` the
-    number of other documents of similarity `threshold` or more, `n_copies` those of
-    them with the same shingles.
-    """
+def _classified(docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """(doc_id, text_hash, key, root, class_id, class_copies, links) of every row; `root` names
+    the class of a document with words."""
     signed = stage(_signed(docs), "jaccard-signed")
     with_words = signed.filter(F.col("key").isNotNull())
     classes = with_words.groupBy("key").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id")
+        F.count(F.lit(1)).alias("copies"),
+        F.min("doc_id").alias("doc_id"),
+        F.min(F.struct("doc_id", "text_hash")).alias("first"),
     )
     one_each = with_words.dropDuplicates(["key"]).select("key", "bands")
-    classes_with_bands = stage(classes.join(one_each, "key"), "jaccard-classes")
-    groups = _groups(_buckets(classes_with_bands))
-    links = stage(_links(groups, docs, threshold, tolerance), "jaccard-links")
+    classes = stage(classes.join(one_each, "key"), "jaccard-classes")
+    groups = stage(_groups(_buckets(classes)), "jaccard-groups")
+    searched = classes.join(groups.select("key").distinct(), "key", "left_semi")
+    texts = _class_texts(docs, searched)
+    links = stage(_links(groups, texts, threshold, tolerance), "jaccard-links")
+    discard(groups)
     roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     sums = links.groupBy("key").agg(F.sum("links").alias("links"))
     named = (
-        classes_with_bands.drop("bands")
+        classes.select("key", "copies", "doc_id")
         .join(sums, "key", "left")
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
     )
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     by_key = named.join(least, "root").select(
-        "key", "class_id", F.col("copies").alias("class_copies"), "links"
+        "key", "root", "class_id", F.col("copies").alias("class_copies"), "links"
     )
+    return signed.drop("bands").join(by_key, "key", "left")
+
+
+def jaccard_classes(
+    docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """Per document: class_id, n_links, n_copies.
+
+    `class_id` is the least doc_id of all documents that links join to it; `n_links` the
+    number of other documents of similarity `threshold` or more, `n_copies` those of
+    them with the same shingles.
+    """
     copies = F.coalesce(F.col("class_copies") - 1, F.lit(0).cast("long"))
-    return signed.join(by_key, "key", "left").select(
+    alone = F.col("key").isNull()
+    return _classified(docs, threshold, tolerance).select(
         "doc_id",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias(
-            "class_id"
-        ),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         (copies + F.coalesce("links", F.lit(0).cast("long"))).alias("n_links"),
         copies.alias("n_copies"),
     )
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
-    """The documents that stand for their class; of repeated doc_ids one row stays."""
-    kept = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    docs, back = set_aside(docs, ["kept_id"])
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return joined.dropDuplicates(["doc_id"]).withColumnsRenamed(back)
+    """The first document of each class; documents without words all stay, repeated rows once."""
+    rows = _classified(docs, THRESHOLD, TOLERANCE)
+    place = F.struct("doc_id", "text_hash")
+    first = rows.filter(F.col("key").isNotNull()).groupBy("root").agg(F.min(place).alias("kept"))
+    alone = rows.filter(F.col("key").isNull()).select(place.alias("kept"))
+    kept = first.select("kept").unionByName(alone).distinct()
+    docs, back = set_aside(docs, ["kept", "text_hash"])
+    named = docs.withColumn("text_hash", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (
+        F.col("text_hash") == F.col("kept.text_hash")
+    )
+    found = named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return found.drop("text_hash").withColumnsRenamed(back)

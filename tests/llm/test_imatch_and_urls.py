@@ -36,6 +36,21 @@ def test_equal_texts_are_alike_and_repeated_rows_stay(docs, compiled):
     assert all(len(r.fingerprint) == imatch.SUBSETS * imatch.HASH_CHARS for r in made)
 
 
+def test_ids_of_any_width_and_sign(docs, compiled, monkeypatch):
+    monkeypatch.setattr(imatch, "BLOCK_ROWS", 3)
+    ids = [-(2**63), -5, 0, 7, 10**15, 2**63 - 1]
+    texts = {d: f"alpha beta w{n % 3} gamma" for n, d in enumerate(ids)}
+    rows = [(d, t, "en", "a") for d, t in texts.items()]
+    found = _prints(docs(rows[::-1]))
+    for doc_id, following in zip(ids, ids[1:] + ids[:1]):
+        own, other = texts[doc_id], texts[following]
+        edited = own[:len(own) - len(own) // 2] + other[:len(own) // 2]
+        assert found[doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+    # Null ids come first, ordered by their texts.
+    made = imatch.fingerprints(docs([(None, "b", "en", "a"), (None, "ab", "en", "a"), *rows]))
+    assert made.count() == len(rows) + 2
+
+
 def test_blocks_do_not_change_the_result(docs, compiled, monkeypatch):
     rows = [(i * i, f"w{i % 5} w{i % 7} w{i % 3} common words here", "en", "a") for i in range(60)]
     whole = sorted(map(tuple, _prints(docs(rows)).values()))

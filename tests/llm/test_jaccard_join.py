@@ -82,6 +82,36 @@ def test_one_of_each_class_and_empty_tables(docs, compiled):
     assert j.one_of_each_class(docs([])).count() == 0
 
 
+def test_texts_that_share_a_doc_id_keep_their_links(docs, compiled):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other = text + " more", " ".join(f"x{i}" for i in range(60))
+    for rows in (
+        [(1, text), (1, other), (2, near)],
+        [(1, other), (1, text), (2, near)],
+        [(None, other), (None, text), (None, near), (None, text), (4, near)],
+        [(-(2**63), text), (2**63 - 1, near), (2**63 - 1, other)],
+    ):
+        found = j.jaccard_classes(docs([(d, t, "en", "a") for d, t in rows])).collect()
+        links = sorted(r.n_links for r in found)
+        texts = [t for _, t in rows if t != other]
+        assert links == sorted([len(texts) - 1] * len(texts) + [0] * (len(rows) - len(texts)))
+        kept = j.one_of_each_class(docs([(d, t, "en", "a") for d, t in rows])).collect()
+        assert len(kept) == 2 and {r.text == other for r in kept} == {True, False}
+
+
+def test_documents_without_words_all_stay(docs, compiled):
+    rows = [(1, None, "en", "a"), (1, "", "en", "a"), (2, " ", "en", "a"), (2, " ", "en", "a")]
+    kept = j.one_of_each_class(docs(rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, ""), (1, ""), (2, " ")]
+
+
+def test_extra_columns_with_names_of_the_join(docs, compiled):
+    rows = docs([(1, "a b c d e f", "en", "a"), (2, "a b c d e f", "en", "b")])
+    rows = rows.selectExpr("*", "5 AS kept", "6 AS text_hash", "7 AS Key", "8 AS root")
+    kept = j.one_of_each_class(rows).collect()
+    assert [(r.doc_id, r.kept, r.text_hash, r.Key, r.root) for r in kept] == [(1, 5, 6, 7, 8)]
+
+
 def test_posterior_and_bands():
     needed = [j.least_matches(n, 0.8, 1e-6) for n in (32, 64, 96, 128)]
     assert needed == sorted(needed) and 0 < needed[0] < 26 and needed[-1] < 103
