@@ -14,11 +14,13 @@ from sessionlens.operators import temporality, timeline
 from sessionlens.plans import timeline_days
 from sessionlens.plans.timeline_days import BASE, DELIVERY, EVENT_DAY
 from sessionlens.sinks import tables
-from sessionlens.sources import bronze, schemas
+from sessionlens.sources import bronze, ledger, schemas
 
 _KEY = ["session_id"]
 #: Partition columns of the timeline table.
 LAYOUT = [EVENT_DAY, DELIVERY]
+#: Table of the bronze files that updates have processed.
+LEDGER = "bronze_ledger"
 
 
 def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> None:
@@ -27,9 +29,31 @@ def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> N
     Sessions found in bronze replace their silver rows, others keep theirs. The
     metrics come first, as the summary takes cost and active time from them.
     """
-    raw = bronze.from_catalog(spark, bronze_schema)
+    _write_silver(spark, bronze.from_catalog(spark, bronze_schema), silver_schema)
+
+
+def silver_update(
+    spark: SparkSession, bronze_schema: str, silver_schema: str, margin: str = ledger.MARGIN
+) -> int:
+    """Bring what has come into the bronze tables since the last update; returns the number of
+    sessions it touched.
+
+    Reads the new files, and those older ones that hold rows of the same sessions. The tables
+    are then as `silver_etl` would write them from all rows.
+    """
     tables.ensure_schema(spark, silver_schema)
+    raw = bronze.from_catalog(spark, bronze_schema)
+    with tables.Staging(spark, silver_schema) as staging:
+        update = ledger.Update(raw, f"{silver_schema}.{LEDGER}", staging, margin)
+        if update.is_empty():
+            return 0
+        _write_silver(spark, update.raw, silver_schema)
+        update.finish()
+        return update.touched.count()
 
+
+def _write_silver(spark: SparkSession, raw: bronze.Bronze, silver_schema: str) -> None:
+    tables.ensure_schema(spark, silver_schema)
     metrics_table = f"{silver_schema}.{v.SILVER_METRICS}"
     summary_table = f"{silver_schema}.{v.SILVER_SUMMARY}"
     tables.ensure_table(spark, metrics_table, schemas.SESSION_METRICS)
@@ -41,8 +65,7 @@ def silver_etl(spark: SparkSession, bronze_schema: str, silver_schema: str) -> N
         summary = staging.keep(summary_operators.session_summary(raw.traces, by_session))
         tables.upsert(summary, summary_table, _KEY)
 
-    events_table = f"{silver_schema}.{v.SILVER_EVENTS}"
-    write_timeline(raw, events_table)
+    write_timeline(raw, f"{silver_schema}.{v.SILVER_EVENTS}")
 
 
 def by_day(events: DataFrame, delivery: str = BASE) -> DataFrame:
