@@ -576,6 +576,7 @@ _SAME_AS = {
     "metrics_by_temporality": "session_metrics",
     "stored_silver_summary": "session_summary",
     "stored_silver_metrics": "session_metrics",
+    "stored_scores": "judge_parse",
     "stored_upsert": "upsert_merge",
     "stored_replace_by_session": "replace_by_session",
     "stored_replace_tools": "replace_tools",

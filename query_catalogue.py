@@ -329,6 +329,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "due_sessions": _due_sessions,
     "stored_silver_summary": stored.silver_summary,
     "stored_silver_metrics": stored.silver_metrics,
+    "stored_scores": lambda i: stored.stored_scores(i, _at(AS_OF), IDLE),
     "stored_upsert": lambda i: stored.upserted(
         i, _by_session(_old(i.events)), _by_session(_new(i.events)), ["session_id"]
     ),

@@ -2,13 +2,16 @@
 
 The judge itself is the caller's: any function that adds an `ai_response` column
 with JSON text. `column_judge` makes one from a Column expression, be it a SQL
-function of the platform or a vectorised UDF.
+function of the platform or a vectorised UDF, `batch_judge` from a Python function.
 """
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,8 @@ from sessionlens.sources.schemas import JUDGMENT
 
 Judge = Callable[[DataFrame], DataFrame]
 
+logger = logging.getLogger(__name__)
+
 # The wording of the prompt, as judges have been given it so far.
 # `{subject}` and the values in the replay and metrics sections are filled in.
 PROMPT_SUBJECT = "an AI agent session"
@@ -90,6 +95,48 @@ def column_judge(ask: Callable[[Column], Column]) -> Judge:
     return lambda prompted: prompted.withColumn("ai_response", ask(F.col("full_prompt")))
 
 
+def batch_judge(
+    ask: Callable[[list[str]], list[str | None]],
+    batch: int = 16,
+    retries: int = 2,
+    wait_s: float = 1.0,
+) -> Judge:
+    """Judge that answers prompts in batches, in Python, with bounded retries.
+
+    `ask` gets at most `batch` prompts and returns an answer, or None, for each. Prompts
+    without an answer, and those of a call that fails, are asked again up to `retries` times, each
+    time after twice the wait; the last time one by one, so that a prompt that breaks its
+    call takes no other with it. What is left without an answer is NULL.
+    """
+
+    @F.pandas_udf("string")
+    def answers(prompts: pd.Series) -> pd.Series:
+        return pd.Series(_answers(ask, prompts.tolist(), batch, retries, wait_s), dtype=object)
+
+    return column_judge(answers.asNondeterministic())
+
+
+def _answers(ask, prompts: list, batch: int, retries: int, wait_s: float) -> list:
+    found = [None] * len(prompts)
+    left = [place for place, prompt in enumerate(prompts) if prompt is not None]
+    for attempt in range(retries + 1):
+        if attempt and left:
+            time.sleep(wait_s * 2 ** (attempt - 1))
+        size = 1 if attempt == retries and retries else batch
+        for start in range(0, len(left), size):
+            places = left[start:start + size]
+            try:
+                some = list(ask([prompts[place] for place in places]))
+            except Exception:  # whatever the caller's client raises
+                logger.warning("a call for %d prompts failed", len(places), exc_info=True)
+                continue
+            if len(some) == len(places):
+                for place, answer in zip(places, some):
+                    found[place] = answer
+        left = [place for place in left if found[place] is None]
+    return found
+
+
 def rule_judge(prompted: DataFrame) -> DataFrame:
     """Deterministic stand-in: grades derived from the rule scores of the session."""
 

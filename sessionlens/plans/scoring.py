@@ -13,6 +13,7 @@ from sessionlens.operators.replay import COLUMNS as REPLAY_COLUMNS
 from sessionlens.operators.replay import session_replay
 from sessionlens.operators.signals import completed_sessions
 from sessionlens.plans import timeline_days
+from sessionlens.plans.answers import remembered
 from sessionlens.sinks import tables
 from sessionlens.sources import schemas
 
@@ -46,12 +47,14 @@ def score_sessions(
     idle: str = v.IDLE_COMPLETION,
     grace: str | None = None,
     subject: str = PROMPT_SUBJECT,
+    answers: str | None = None,
 ) -> int:
     """Score completed sessions that have no score yet; returns their number.
 
     A score is never changed, unless `grace` allows to score a session again that
     went on within this interval after its score. Sessions whose judgment failed
-    are not written and come up again in the next run.
+    are not written and come up again in the next run. With `answers`, a table of
+    the gold schema, no prompt that has been answered is asked again.
     """
     scores_table = f"{gold_schema}.{v.GOLD_SCORES}"
     summary = spark.table(f"{silver_schema}.{v.SILVER_SUMMARY}")
@@ -77,6 +80,9 @@ def score_sessions(
         # Finding the events may take a shuffle, and they are read three times.
         events = staging.keep(worksets.events_of(timeline, due))
         prompted = prompted_sessions(due, events, keep_interactions, replay_char_budget, subject)
+        if answers is not None:
+            prompted = staging.keep(prompted)
+            judge = remembered(judge, f"{gold_schema}.{answers}")
         # A judge is asked once per session: its answers are stored before the
         # parser and the filter, which would otherwise each evaluate it.
         judged = staging.keep(judge(prompted))

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 import testdata_adapter as adapter
 from sessionlens import vocabulary as v
-from sessionlens.operators import worksets
+from sessionlens.operators import judge, worksets
 from sessionlens.plans import silver, timeline_days
+from sessionlens.plans.scoring import score_sessions
 from sessionlens.sinks import tables
 from sessionlens.sources import bronze
 from sessionlens.streaming import timeline as streaming
@@ -53,6 +54,19 @@ def silver_metrics(i) -> DataFrame:
     return i.spark.table(f"{schema}.{v.SILVER_METRICS}")
 
 
+def stored_scores(i, as_of: Column, idle: str) -> DataFrame:
+    """Two runs of the scoring job with kept answers; the second one finds nothing to score."""
+    schema = _schema(i)
+    i.summary.write.saveAsTable(f"{schema}.{v.SILVER_SUMMARY}")
+    raw = bronze.Bronze(i.traces, i.logs, i.points)
+    silver.write_timeline(raw, f"{schema}.{v.SILVER_EVENTS}")
+    for _ in range(2):
+        score_sessions(
+            i.spark, schema, schema, judge.rule_judge, as_of=as_of, idle=idle, answers="answers"
+        )
+    return i.spark.table(f"{schema}.{v.GOLD_SCORES}")
+
+
 def upserted(i, old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     name = f"{_schema(i)}.t"
     tables.ensure_table_like(name, old)

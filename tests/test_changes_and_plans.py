@@ -328,6 +328,53 @@ def test_the_judge_is_asked_once_per_session(spark, silver, schema_name):
     assert asked.value == 2
 
 
+def test_prompts_are_asked_once_over_all_runs(spark, silver, schema_name):
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def ask(prompt):
+        asked.add(1)
+        return "no grade" if "interactions: 7" in prompt else json.dumps({"overall_score": 50})
+
+    # Two sessions alike, one that fails, one of its own.
+    silver([session("a"), session("b"), session("f", num_interactions=7), session("c", num_interactions=3)])
+    options = {"answers": "answers"}
+    assert _grades(spark, schema_name, judge.column_judge(ask), **options) == dict.fromkeys("abc", 50)
+    assert asked.value == 3
+    silver([session(name) for name in "abd"] + [session("f", num_interactions=7)])
+    found = _grades(spark, schema_name, judge.column_judge(ask), **options)
+    # The failed prompt is asked again; that of the new session has an answer.
+    assert found == dict.fromkeys("abcd", 50) and asked.value == 4
+
+
+def test_a_batch_judge_retries_and_isolates_failures(spark, silver, schema_name):
+    def ask(prompts):
+        if any("interactions: 9" in prompt for prompt in prompts):
+            raise RuntimeError("broken")
+        return [json.dumps({"overall_score": 40}) for _ in prompts]
+
+    silver([session(f"s{i}", num_interactions=i) for i in range(8, 12)])
+    found = _grades(spark, schema_name, judge.batch_judge(ask, batch=10, retries=1, wait_s=0))
+    assert found == {"s8": 40, "s10": 40, "s11": 40}
+
+
+def test_answers_of_batches():
+    calls = []
+
+    def ask(prompts):
+        calls.append(list(prompts))
+        if len(calls) == 1:
+            raise RuntimeError("busy")
+        if len(calls) == 2:
+            return []
+        return [p.upper() if p != "x" else None for p in prompts]
+
+    got = judge._answers(ask, ["a", None, "x", "b"], 2, 3, 0)
+    assert got == ["A", None, None, "B"]
+    assert calls == [["a", "x"], ["b"], ["a", "x"], ["b"], ["x"], ["x"]]
+    assert judge._answers(ask, [], 2, 3, 0) == []
+
+
 # ---- segments and roll-ups ----------------------------------------------------------------
 
 
