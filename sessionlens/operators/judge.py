@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sessionlens.functions.text import fixed_point, text_or_none
 from sessionlens.operators.signals import as_column
-from sessionlens.sources.schemas import JUDGMENT
+from sessionlens.sources.schemas import JUDGMENT, SESSION_SCORES
 
 Judge = Callable[[DataFrame], DataFrame]
 
@@ -183,20 +183,11 @@ def session_scores(judged: DataFrame, as_of=None) -> DataFrame:
     graded = judged.withColumn("judgment", parse_judgment(F.col("ai_response")))
     scored_at = as_column(as_of)
     first = F.col("first_scored_at") if "first_scored_at" in judged.columns else F.lit(None)
-    return graded.select(
-        "session_id",
-        "user_id",
-        "session_start",
-        "num_interactions",
-        "total_cost_usd",
-        "efficiency_score",
-        "productivity_score",
-        "quality_score",
-        "autonomy_score",
-        "engagement_score",
-        "composite_score",
-        *[F.col("judgment").getField(f.name).alias(f"llm_{f.name}") for f in JUDGMENT],
-        scored_at.alias("scored_at"),
-        F.col("session_end").alias("scored_session_end"),
-        F.coalesce(first.cast("timestamp"), scored_at).alias("first_scored_at"),
-    ).filter(F.col("llm_overall_score").isNotNull())
+    made = {
+        **{f"llm_{f.name}": F.col("judgment").getField(f.name) for f in JUDGMENT},
+        "scored_at": scored_at,
+        "scored_session_end": F.col("session_end"),
+        "first_scored_at": F.coalesce(first.cast("timestamp"), scored_at),
+    }
+    columns = [made.get(name, F.col(name)).alias(name) for name in SESSION_SCORES.fieldNames()]
+    return graded.select(*columns).filter(F.col("llm_overall_score").isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sessionlens import vocabulary as v
 from sessionlens.functions.arithmetic import capped, count_when, floored, ratio
 from sessionlens.operators.ordering import BUCKET_S, NO_TIME, located, whole_second
+from sessionlens.sources.schemas import SESSION_HUMAN_SIGNALS, SESSION_HUMAN_SIGNALS_BY_TOOL
 
 _COUNTS = (
     "num_tool_decisions",
@@ -176,26 +177,15 @@ def session_human_signals(
             | (F.col("num_corrections") >= 1),
         }
     )
-    return rated.select(
-        "session_id",
-        "user_id",
-        "primary_model",
-        "session_start",
-        "num_interactions",
-        *_COUNTS,
-        "reject_rate",
-        "abort_rate",
-        "correction_intensity",
-        friction_score(
-            F.col("reject_rate"),
-            F.col("abort_rate"),
-            F.col("correction_intensity"),
-            F.col("signal_strength"),
-            weights,
-        ).alias("human_friction_score"),
-        "signal_strength",
-        as_column(as_of).alias("computed_at"),
+    score = friction_score(
+        F.col("reject_rate"),
+        F.col("abort_rate"),
+        F.col("correction_intensity"),
+        F.col("signal_strength"),
+        weights,
     )
+    made = rated.withColumns({"human_friction_score": score, "computed_at": as_column(as_of)})
+    return made.select(*SESSION_HUMAN_SIGNALS.fieldNames())
 
 
 def signals_by_tool(
@@ -213,15 +203,11 @@ def signals_by_tool(
     return (
         by_tool.join(sessions.select("session_id", "user_id"), "session_id")
         .join(metrics_by_session.select("session_id", "primary_model"), "session_id", "left")
-        .select(
-            "session_id",
-            "user_id",
-            "primary_model",
-            "tool_name",
-            "num_tool_decisions",
-            "num_tool_rejects",
-            "num_tool_accepts",
-            ratio(F.col("num_tool_rejects"), F.col("num_tool_decisions")).alias("reject_rate"),
-            as_column(as_of).alias("computed_at"),
+        .withColumns(
+            {
+                "reject_rate": ratio(F.col("num_tool_rejects"), F.col("num_tool_decisions")),
+                "computed_at": as_column(as_of),
+            }
         )
+        .select(*SESSION_HUMAN_SIGNALS_BY_TOOL.fieldNames())
     )

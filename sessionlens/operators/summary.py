@@ -20,6 +20,7 @@ from sessionlens.functions.attributes import (
     attr_long,
     nanos_to_timestamp,
 )
+from sessionlens.sources.schemas import SESSION_SUMMARY
 
 _FIRST_FIELDS = ("user_id", "service_version", "os_type", "terminal_type")
 
@@ -176,6 +177,10 @@ def with_session_rates(rolled: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of the summary that the spans do not tell.
+_FROM_METRICS = ("total_cost_usd", "total_active_time_s")
+
+
 def span_summary(traces: DataFrame) -> DataFrame:
     """Summary columns that come from spans; sessions without interaction are left out."""
     spans = _spans(
@@ -197,31 +202,8 @@ def span_summary(traces: DataFrame) -> DataFrame:
         )
         .filter(F.col("num_interactions") > 0)
     )
-    return with_session_rates(_with_first_attributes(rolled, traces)).select(
-        "session_id",
-        "user_id",
-        "session_start",
-        "session_end",
-        "session_duration_s",
-        "num_interactions",
-        "num_llm_requests",
-        "num_tool_calls",
-        "total_input_tokens",
-        "total_output_tokens",
-        "total_cache_read",
-        "total_cache_creation",
-        "cache_hit_rate",
-        "avg_ttft_ms",
-        "avg_llm_duration_ms",
-        "tool_success_rate",
-        "auto_accept_rate",
-        "tools_per_interaction",
-        "llm_calls_per_interaction",
-        "avg_prompt_length",
-        "service_version",
-        "os_type",
-        "terminal_type",
-    )
+    rated = with_session_rates(_with_first_attributes(rolled, traces))
+    return rated.select(*[f for f in SESSION_SUMMARY.fieldNames() if f not in _FROM_METRICS])
 
 
 def session_summary(traces: DataFrame, metrics_by_session: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ import logging
 from pyspark.sql import SparkSession
 
 from sessionlens import vocabulary as v
-from sessionlens.operators import signals
+from sessionlens.operators import signals, worksets
+from sessionlens.plans import timeline_days
 from sessionlens.sinks import tables
 from sessionlens.sources import schemas
 
@@ -21,18 +22,22 @@ def score_human_signals(
     as_of=None,
     idle: str = v.IDLE_COMPLETION,
     window_s: int = v.CORRECTION_WINDOW_S,
+    only_changed: bool = False,
 ) -> int:
     """Recompute the signals of all completed sessions; returns their number.
 
     The timeline is combined to one row per session, or per session and tool,
-    before it meets the completed sessions.
+    before it meets the completed sessions. With `only_changed`, sessions whose timeline has not
+    changed since their signals were computed keep them, and only days of the others are
+    read; this needs the day index that the writers of the timeline keep.
     """
     summary = spark.table(f"{silver_schema}.{v.SILVER_SUMMARY}")
     sessions = signals.completed_sessions(summary, as_of, idle)
     if sessions.isEmpty():
         logger.info("no completed sessions")
         return 0
-    events = spark.table(f"{silver_schema}.{v.SILVER_EVENTS}")
+    events_table = f"{silver_schema}.{v.SILVER_EVENTS}"
+    events = spark.table(events_table)
     metrics = spark.table(f"{silver_schema}.{v.SILVER_METRICS}")
 
     tables.ensure_schema(spark, gold_schema)
@@ -41,6 +46,17 @@ def score_human_signals(
     tables.ensure_table(spark, session_table, schemas.SESSION_HUMAN_SIGNALS)
     tables.ensure_table(spark, tool_table, schemas.SESSION_HUMAN_SIGNALS_BY_TOOL)
     with tables.Staging(spark, gold_schema) as staging:
+        if only_changed:
+            computed = spark.table(session_table)
+            sessions = staging.keep(
+                timeline_days.changed_since(events_table, sessions, computed)
+            )
+            if sessions.isEmpty():
+                logger.info("no changed sessions")
+                return 0
+            events = worksets.events_of(
+                timeline_days.timeline_of(events_table, sessions), sessions
+            )
         counts = signals.signal_counts(events, window_s)
         by_session = staging.keep(
             signals.session_human_signals(sessions, counts, metrics, as_of)

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from sessionlens import vocabulary as v
 from sessionlens.operators import metrics as metric_operators
 from sessionlens.operators import summary as summary_operators
-from sessionlens.operators import temporality, timeline
+from sessionlens.operators import segments, temporality, timeline, worksets
 from sessionlens.plans import timeline_days
 from sessionlens.plans.timeline_days import BASE, DELIVERY, EVENT_DAY
 from sessionlens.sinks import tables
+from sessionlens.sinks.partitions import schema_of
 from sessionlens.sources import bronze, ledger, schemas
 
 _KEY = ["session_id"]
 #: Partition columns of the timeline table.
 LAYOUT = [EVENT_DAY, DELIVERY]
+#: Partition column of a table of segments.
+SEGMENT_DAY = "segment_day"
 #: Table of the bronze files that updates have processed.
 LEDGER = "bronze_ledger"
 
@@ -148,3 +151,28 @@ def gather_deliveries(spark: SparkSession, events_table: str) -> int:
     gathered = events.withColumn(DELIVERY, F.lit(BASE))
     tables.exchange_partitions(gathered, events.select(*LAYOUT).distinct(), events_table)
     return len(days)
+
+
+def revise_segments(
+    spark: SparkSession, events_table: str, segments_table: str, sessions: DataFrame, gap_s: int
+) -> None:
+    """Cut the activity of `sessions` anew from the stored timeline.
+
+    An event may lengthen, join or add segments, however late it comes: all segments of its
+    session give way to the new ones. Only days of these sessions are read and changed.
+    """
+    with tables.Staging(spark, schema_of(segments_table)) as staging:
+        touched = staging.keep(sessions.select("session_id").distinct())
+        events = worksets.events_of(timeline_days.timeline_of(events_table, touched), touched)
+        found = staging.keep(
+            segments.idle_segments(events, gap_s).withColumn(
+                SEGMENT_DAY, F.to_date("segment_start")
+            )
+        )
+        tables.ensure_table_like(segments_table, found, partition_by=[SEGMENT_DAY])
+
+        def within(_: DataFrame) -> Column:
+            return timeline_days.days_of(events_table, touched, SEGMENT_DAY)
+
+        bounded = timeline_days.is_indexed(spark, events_table)
+        tables.replace(found, segments_table, _KEY, touched, within if bounded else None)

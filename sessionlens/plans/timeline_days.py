@@ -1,9 +1,10 @@
 """Which days of the timeline hold a session: a small table beside it.
 
-Every writer of the timeline adds a row (session, first day, last day, undated) per session
-and change before it changes the timeline, so the rows of a session cover its days at any time;
-they may cover more. A work set is looked up there, and the days found are a partition
-filter on the timeline, known when the scan is planned.
+Every writer of the timeline adds a row (session, first day, last day, undated, noted at) per
+session and change before it changes the timeline, so the rows of a session cover its days at any
+time; they may cover more. A work set is looked up there, and the days found are a partition
+filter on the timeline, known when the scan is planned. The newest row of a session tells when
+it last changed.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ def _ranges(events: DataFrame) -> DataFrame:
             F.min(EVENT_DAY).alias("first_day"),
             F.max(EVENT_DAY).alias("last_day"),
             F.max(F.col(EVENT_DAY).isNull()).alias("undated"),
+            F.max(F.current_timestamp()).alias("noted_at"),
         )
     )
 
@@ -54,8 +56,21 @@ def note(events: DataFrame, events_table: str) -> None:
     tables.append(_ranges(events), index_name(events_table))
 
 
-def days_of(events_table: str, sessions: DataFrame) -> Column:
-    """A condition on the partition columns that holds for all rows of `sessions`."""
+def changed_since(events_table: str, sessions: DataFrame, computed: DataFrame) -> DataFrame:
+    """Those of `sessions` that are not in `computed` (session_id, computed_at), or whose
+    timeline has changed since."""
+    spark = sessions.sparkSession
+    last = spark.table(index_name(events_table)).groupBy("session_id").agg(
+        F.max("noted_at").alias("_noted_at")
+    )
+    computed = computed.groupBy("session_id").agg(F.max("computed_at").alias("_computed_at"))
+    rows = sessions.join(computed, "session_id", "left").join(last, "session_id", "left")
+    new = F.col("_computed_at").isNull() | (F.col("_noted_at") >= F.col("_computed_at"))
+    return rows.filter(new).drop("_computed_at", "_noted_at")
+
+
+def days_of(events_table: str, sessions: DataFrame, day: str = EVENT_DAY) -> Column:
+    """A condition on the day column that holds for all rows of `sessions`."""
     spark = sessions.sparkSession
     known = spark.table(index_name(events_table)).join(
         sessions.select("session_id").distinct(), "session_id", "left_semi"
@@ -64,7 +79,7 @@ def days_of(events_table: str, sessions: DataFrame) -> Column:
         F.min("first_day").alias("low"), F.max("last_day").alias("high"),
         F.max("undated").alias("undated"),
     ).first()
-    day = F.col(EVENT_DAY)
+    day = F.col(day)
     found = F.lit(False)
     if bounds["low"] is not None:
         if (bounds["high"] - bounds["low"]).days < LISTED_DAYS:

@@ -11,11 +11,14 @@ from pyspark.sql.streaming import StreamingQuery
 from sessionlens import vocabulary as v
 from sessionlens.functions.arithmetic import count_when
 from sessionlens.operators import timeline
-from sessionlens.plans.silver import merge_events
+from sessionlens.plans.silver import merge_events, revise_segments
 from sessionlens.sources import schemas
 from sessionlens.sources.bronze import Bronze
 
 
+SEGMENT_GAP_S = 7200
+
+
 def stream_bronze(spark: SparkSession, directory: str, files_per_trigger: int = 1000) -> Bronze:
     """Streams over the files that arrive in `<directory>/<table>`."""
 
@@ -36,18 +39,36 @@ def stream_events(raw: Bronze) -> DataFrame:
 
 
 def write_timeline(
-    events: DataFrame, table: str, checkpoint: str, available_now: bool = False
+    events: DataFrame,
+    table: str,
+    checkpoint: str,
+    available_now: bool = False,
+    segments_table: str | None = None,
+    gap_s: int = SEGMENT_GAP_S,
 ) -> StreamingQuery:
     """Keep `table` as the batch job would write it from all rows that have arrived.
 
     Each batch is a delivery, named after the checkpoint and its number: no row is too late,
-    copies stay copies, and a batch that runs again after a failure counts once.
+    copies stay copies, and a batch that runs again after a failure counts once. With
+    `segments_table`, the segments of the sessions in a batch are cut anew behind it, so
+    they too are those of all rows that have arrived.
     """
     stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            merge_events(batch, table, f"{stream}-{number}")
+            if segments_table is not None:
+                revise_segments(spark, table, segments_table, batch, gap_s)
+        finally:
+            batch.unpersist()
+
     writer = (
         events.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, number: merge_events(batch, table, f"{stream}-{number}"))
+        .foreachBatch(merge)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -73,7 +94,8 @@ def unrepeated(events: DataFrame, lateness: str = "2 hours") -> DataFrame:
 def stream_segments(events: DataFrame, gap: str = "2 hours") -> DataFrame:
     """Activity of a session between idle gaps, emitted once the gap has passed.
 
-    `events` carries a watermark, as `unrepeated` sets it.
+    `events` carries a watermark, as `unrepeated` sets it; rows behind it are left out. For
+    segments that later rows revise, see `write_timeline`.
     """
     return (
         events.groupBy("session_id", F.session_window("event_ts", gap).alias("window"))

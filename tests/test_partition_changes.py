@@ -9,6 +9,7 @@ from conftest import event, events, log, span, summaries, session
 from sessionlens import vocabulary as v
 from sessionlens.operators import worksets
 from sessionlens.plans import silver, timeline_days
+from sessionlens.plans.human_signals import score_human_signals
 from sessionlens.sinks import partitions, tables
 from sessionlens.sources import bronze as readers
 
@@ -214,3 +215,33 @@ def test_an_index_is_made_anew_where_it_is_missing(spark, timeline):
     known = spark.table(timeline_days.index_name(timeline))
     assert {r.session_id for r in known.collect()} == {"s1", "s2", "s3"}
     assert known.filter(F.col("undated")).count() == 1
+
+
+def test_signals_of_changed_sessions_equal_a_full_run(spark, bronze, schema_name):
+    def decisions(session, day, n):
+        return [
+            log(v.LOG_TOOL_DECISION, session, day * 86_400 + i, decision="reject", tool_name="Bash")
+            for i in range(n)
+        ]
+
+    first = bronze(
+        [span(v.SPAN_INTERACTION, s) for s in ("s1", "s2")], decisions("s1", 0, 1) + decisions("s2", 5, 1)
+    )
+    silver.silver_etl(spark, first, schema_name)
+    args = (spark, schema_name, schema_name)
+    assert score_human_signals(*args, only_changed=True) == 2
+    assert score_human_signals(*args, only_changed=True) == 0
+    second = readers.from_catalog(spark, bronze([], decisions("s2", 5, 1) + decisions("s2", 6, 3)))
+    silver.write_timeline(second, f"{schema_name}.{v.SILVER_EVENTS}")
+    # Days of other sessions are not read: without them the result is the same.
+    gone = f"ALTER TABLE {schema_name}.{v.SILVER_EVENTS} PARTITION (event_day = '2024-03-01', delivery = 'base')"
+    place = spark.sql(gone.replace("ALTER TABLE", "DESCRIBE EXTENDED").replace("  ", " "))
+    where = next(r.data_type for r in place.collect() if r.col_name == "Location")
+    spark.sql(f"{gone} SET LOCATION '{where}_moved'")
+    assert score_human_signals(*args, only_changed=True) == 1
+    spark.sql(f"{gone} SET LOCATION '{where}'")
+    tables_of = (v.GOLD_SIGNALS, v.GOLD_SIGNALS_BY_TOOL)
+    found = [sorted(spark.table(f"{schema_name}.{t}").drop("computed_at").collect()) for t in tables_of]
+    score_human_signals(*args)
+    whole = [sorted(spark.table(f"{schema_name}.{t}").drop("computed_at").collect()) for t in tables_of]
+    assert found == whole and len(found[0]) == 2

@@ -127,3 +127,36 @@ def test_closed_segments_equal_those_of_the_batch(spark, tmp_path, schema_name):
     assert _rows(spark.table(table).select(*columns)) == _rows(batch.select(*columns))
     closed = spark.table(table).filter("session_id = 's1'").orderBy("segment_start").first()
     assert (closed.num_prompts, closed.num_user_aborts) == (3, 1)
+
+
+def test_late_events_revise_segments(spark, tmp_path, events_table):
+    """Days later than any watermark: segments are lengthened, joined and added."""
+    folder, checkpoint = _raw(spark, str(tmp_path)), f"{tmp_path}/checkpoint"
+    table = f"{events_table}_segments"
+
+    def run():
+        events = streaming.stream_events(streaming.stream_bronze(spark, folder))
+        query = streaming.write_timeline(
+            events, events_table, checkpoint, available_now=True, segments_table=table
+        )
+        query.awaitTermination()
+        assert query.exception() is None
+        for name in (events_table, table):
+            spark.catalog.refreshTable(name)
+        whole = segments.idle_segments(spark.table(events_table), streaming.SEGMENT_GAP_S)
+        stored = spark.table(table).drop("segment_day")
+        assert _rows(stored) == _rows(whole)
+        return {(r.session_id, r.segment): r.num_events for r in stored.collect()}
+
+    first = run()
+    assert len([key for key in first if key[0] == "s1"]) == 2
+    files = set(spark.table(table).filter("segment_day = '2024-03-01'").inputFiles())
+    between = [log(v.LOG_USER_PROMPT, ts=ts) for ts in range(6000, 20_000, 6000)]
+    _write(spark, folder, between)
+    joined = run()
+    assert len([key for key in joined if key[0] == "s1"]) == 1
+    _write(spark, folder, [log(v.LOG_USER_PROMPT, "s7", ts=-500_000)])
+    now = set(spark.table(table).filter("segment_day = '2024-03-01'").inputFiles())
+    assert now != files
+    assert set(run()) - set(joined) == {("s7", 0)}
+    assert set(spark.table(table).filter("segment_day = '2024-03-01'").inputFiles()) == now
