@@ -5,12 +5,13 @@ is counted by Spark over all documents: tasks combine their own n-grams first, t
 counts of the highest order are summed by (language, n-gram), and continuation counts,
 discounts and interpolated probabilities of all orders follow by grouping and joining.
 
-For scoring, every order is a sorted array of hashes (`SLOT_BITS` bits of a hash of
-language and n-gram) beside an array of log probabilities, and the same for the weights
-of contexts. So an order has at most 2**SLOT_BITS entries of 8 bytes, however large the
-corpus: the bound under which the model is sent to the executors. N-grams that share a
-slot share the greater value. An n-gram that the model does not have takes the next lower
-order times the weight of its context.
+For scoring, every order is a sorted array of 64-bit hashes of language and n-gram beside an
+array of log probabilities, and the same for the weights of contexts: 12 bytes an entry. N-grams
+that occur once are left out (see below), so the arrays hold those that the corpus repeats, and
+grow with it. They are sent to the executors in passes over the documents, each for some
+languages, so that a pass has about `PASS_VALUES` entries; only a single language may exceed
+that. Two n-grams of a language share a hash with a probability below 1e-5 at ten million. An
+n-gram that the model does not have takes the next lower order times the weight of its context.
 
 The documents that are scored are those that were counted. An n-gram that occurs once
 in the corpus occurs in the scored text itself and nowhere else, so it counts as unseen
@@ -28,8 +29,9 @@ of at least `LEAST_REACH` on either side; repeated rows count as often as they c
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,15 +51,16 @@ from sessionlens.llm.texts import (
 from sessionlens.llm.words import utf8, word_hashes
 
 ORDER = 4
-SLOT_BITS = 22
+#: Entries of all arrays that are sent to the executors at once, 12 bytes each.
+PASS_VALUES = 20_000_000
 #: Stands before every text, so that its first characters have a context.
 START = "\x02"
 WIDTH, LEAST_REACH = 9.0, 0.05
 SHORT_WORDS = 100
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
-#: N-grams that a task keeps before it combines them.
+#: N-grams that a task keeps before it combines them, and gives them back if that is not enough.
 _HELD = 2_000_000
-_FACTOR = np.uint64(0x110000)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 # --- base counts ---------------------------------------------------------------------
@@ -147,8 +150,9 @@ class _Counter:
         )
         places = ends[first][:, None] - np.arange(ORDER - 1, -1, -1)
         self.parts.append((rolled[ends[first] - ORDER + 1], flat[places], counts))
-        if sum(len(p[0]) for p in self.parts) > _HELD:
-            self.combine()
+
+    def held(self) -> int:
+        return sum(len(p[0]) for p in self.parts)
 
     def combine(self) -> None:
         names, grams, counts = (np.concatenate(x) for x in zip(*self.parts))
@@ -181,6 +185,13 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) of all documents (lang, text); every task combines first."""
     arrow = to_arrow_schema(_COUNTS)
 
+    def drained(counters: dict[str, _Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, counter in counters.items():
+            grams, counts = counter.rows()
+            columns = [pa.array([lang] * len(grams)), pa.array(grams), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        counters.clear()
+
     def run(batches):
         counters: dict[str, _Counter] = {}
         for batch in batches:
@@ -189,10 +200,12 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 for lang, own in _by_lang(langs[start:start + len(texts)], texts):
                     if own:
                         counters.setdefault(lang, _Counter()).add(own)
-        for lang, counter in counters.items():
-            grams, counts = counter.rows()
-            columns = [pa.array([lang] * len(grams)), pa.array(grams), pa.array(counts)]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                if sum(c.held() for c in counters.values()) > _HELD:
+                    for counter in counters.values():
+                        counter.combine()
+                    if sum(c.held() for c in counters.values()) > _HELD // 2:
+                        yield from drained(counters)
+        yield from drained(counters)
 
     counted = docs.select("lang", "text").mapInArrow(run, _COUNTS)
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -297,31 +310,27 @@ def _lang_seed(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def _slots(rolled: np.ndarray, seeds: np.ndarray | np.uint64) -> np.ndarray:
-    return (mixed(mixed(rolled) ^ seeds) >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
+def _keys(rolled: np.ndarray, seeds: np.ndarray | np.uint64) -> np.ndarray:
+    return mixed(mixed(rolled) ^ seeds)
 
 
 class HashedModel:
-    """Per order: sorted slots and values of n-grams, and of contexts."""
+    """Per order: sorted hashes and values of n-grams, and of contexts."""
 
-    def __init__(self, rows: pa.Table):
-        size = rows.column("size").to_numpy()
-        kind = rows.column("kind").to_numpy().astype(str)
-        slot = rows.column("slot").to_numpy().astype(np.uint32)
-        value = rows.column("value").to_numpy().astype(np.float32)
+    def __init__(self, array_of: Callable[[int, str], tuple[np.ndarray, np.ndarray]]):
         self.arrays = {}
-        for n in range(1, ORDER + 1):
-            for k in "pw":
-                mine = np.flatnonzero((size == n) & (kind == k))
-                mine = mine[np.argsort(slot[mine])]
-                self.arrays[n, k] = slot[mine], value[mine]
+        for size in range(1, ORDER + 1):
+            for kind in "pw":
+                keys, values = array_of(size, kind)
+                order = np.argsort(keys)
+                self.arrays[size, kind] = keys[order], values[order]
 
-    def _look_up(self, name: tuple[int, str], slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _look_up(self, name: tuple[int, str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known, values = self.arrays[name]
         if not len(known):
-            return np.zeros(len(slots), np.float32), np.zeros(len(slots), bool)
-        at = np.minimum(np.searchsorted(known, slots), len(known) - 1)
-        return values[at], known[at] == slots
+            return np.zeros(len(keys), np.float32), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return values[at], known[at] == keys
 
     def log_perplexity(self, texts: list[str], langs: list[str]) -> np.ndarray:
         """Mean negative log probability of the characters of each text; 0 if empty."""
@@ -337,14 +346,14 @@ class HashedModel:
         for size in range(ORDER, 0, -1):
             rolled = _rolled(flat, size)
             at = ends[open_]
-            values, known = self._look_up((size, "p"), _slots(rolled[at - size + 1], seeds[at]))
+            values, known = self._look_up((size, "p"), _keys(rolled[at - size + 1], seeds[at]))
             found[open_[known]] = values[known] + added[open_[known]]
             open_ = open_[~known]
             if not len(open_):
                 break
             at = ends[open_]
             context = _rolled(flat, size - 1)[at - size + 1] if size > 1 else at * np.uint64(0)
-            weight, has = self._look_up((size, "w"), _slots(context.astype(np.uint64), seeds[at]))
+            weight, has = self._look_up((size, "w"), _keys(context.astype(np.uint64), seeds[at]))
             added[open_] += np.where(has, weight, 0)
         found[open_] = added[open_] - np.float32(np.log(0x110000))
         text = np.repeat(np.arange(len(texts)), lengths - (ORDER - 1))
@@ -352,19 +361,30 @@ class HashedModel:
         return -sums / np.maximum(lengths - (ORDER - 1), 1)
 
 
-def hashed_model(tables: DataFrame) -> HashedModel:
-    """Brings at most 2**SLOT_BITS values per order and kind to the driver."""
-    slotted = with_batch_columns(
+def hashed_tables(tables: DataFrame) -> DataFrame:
+    """(size, kind, lang, key, value): the model's tables with hashes for n-grams, staged."""
+    keyed = with_batch_columns(
         tables,
-        _slot_column,
-        [T.StructField("slot", T.IntegerType(), True)],
-        ["size", "kind", "value"],
+        _key_column,
+        [T.StructField("key", T.LongType(), True)],
+        ["size", "kind", "lang", "value"],
     )
-    rows = slotted.groupBy("size", "kind", "slot").agg(F.max("value").cast("float").alias("value"))
-    return HashedModel(rows.toArrow())
+    return stage(keyed.withColumn("value", F.col("value").cast("float")), "ngrams-hashed")
+
+
+def hashed_model(hashed: DataFrame) -> HashedModel:
+    """Brings hashes and values, no n-grams, to the driver: one order and kind at a time."""
 
+    def array_of(size: int, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        rows = hashed.filter((F.col("size") == size) & (F.col("kind") == kind))
+        table = rows.select("key", "value").toArrow()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        return keys, table.column("value").to_numpy().astype(np.float32)
 
-def _slot_column(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    return HashedModel(array_of)
+
+
+def _key_column(batch: pa.RecordBatch) -> dict[str, pa.Array]:
     def column(name: str) -> list:
         return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
@@ -377,7 +397,7 @@ def _slot_column(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         rolled[longer] = rolled[longer] * _FACTOR + flat[starts[longer] + k].astype(np.uint64)
     seed_of = {lang: _lang_seed(lang) for lang in set(langs)}
     seeds = np.array([seed_of[lang] for lang in langs], np.uint64)
-    return {"slot": pa.array(_slots(rolled, seeds).astype(np.int32))}
+    return {"key": pa.array(_keys(rolled, seeds).view(np.int64))}
 
 
 # --- rules ---------------------------------------------------------------------------
@@ -406,6 +426,17 @@ def with_scores(docs: DataFrame, model: HashedModel) -> DataFrame:
     return with_batch_columns(docs, compute, fields, keep)
 
 
+def score_all(docs: DataFrame, hashed: DataFrame) -> DataFrame:
+    """`with_scores` of all documents, the languages in as many passes as the model needs."""
+    passes = max(1, -(-hashed.count() // PASS_VALUES))
+    scored = []
+    for number in range(passes):
+        mine = F.pmod(F.xxhash64("lang"), F.lit(passes)) == number
+        model = hashed_model(hashed if passes == 1 else hashed.filter(mine))
+        scored.append(with_scores(docs if passes == 1 else docs.filter(mine), model))
+    return functools.reduce(DataFrame.unionByName, scored)
+
+
 def bands(scored: DataFrame, width: float = WIDTH) -> DataFrame:
     """(lang, middle, reach) of the log perplexity, from all documents with enough words."""
     rows = scored.filter(F.col("n_words") >= LEAST_WORDS)
@@ -424,8 +455,8 @@ def judge(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """Per document: base counts, log_perplexity, base_failed, in_band, kept."""
     rows = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("")).alias("lang"), "text")
     counts = stage(count_grams(rows), "ngrams-counts")
-    model = hashed_model(model_tables(counts))
-    scored = stage(with_scores(rows, model), "perplexity-scored")
+    hashed = hashed_tables(model_tables(counts))
+    scored = stage(score_all(rows, hashed), "perplexity-scored")
     judged = scored.join(bands(scored, width), "lang", "left")
     reach = F.col("reach") * F.sqrt(1 + SHORT_WORDS / F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.abs(F.col("log_perplexity") - F.col("middle")) <= reach

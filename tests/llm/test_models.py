@@ -207,7 +207,8 @@ def test_model_equals_the_definition(docs, compiled):
     dice = random.Random(8)
     texts = ["".join(dice.choices("abcd é", k=dice.randrange(1, 80))) for _ in range(40)]
     counts = perplexity.count_grams(docs(texts))
-    model = perplexity.hashed_model(perplexity.model_tables(counts))
+    hashed = perplexity.hashed_tables(perplexity.model_tables(counts))
+    model = perplexity.hashed_model(hashed)
     p = _naive_model(texts)
     some = [*texts[:10], "dcba", "a"]
     found = model.log_perplexity(some, ["en"] * len(some))
@@ -217,6 +218,53 @@ def test_model_equals_the_definition(docs, compiled):
         assert value == pytest.approx(-sum(logs) / len(text), abs=1e-4)
 
 
+def test_no_two_of_many_grams_share_an_entry(docs, compiled):
+    """A hundred thousand different n-grams: each is found with its own value, no other is."""
+    import numpy as np
+
+    dice = np.random.default_rng(5)
+    flat = dice.integers(0x21, 0x3000, (100_000, perplexity.ORDER)).astype(np.uint32)
+    flat[::3, 0] += 0x10000  # beyond the first plane
+    flat = np.unique(flat, axis=0)
+    keys = perplexity._keys(perplexity._rolled(flat.ravel(), perplexity.ORDER)[::perplexity.ORDER], np.uint64(7))
+    assert len(np.unique(keys)) == len(flat)
+    known, values = keys[::2], np.arange(len(keys[::2]), dtype=np.float32)
+    model = perplexity.HashedModel(lambda size, kind: (known, values))
+    found, has = model._look_up((1, "p"), keys)
+    assert has[::2].all() and not has[1::2].any()
+    assert (found[::2] == values).all()
+
+
+def test_passes_and_small_counters_change_nothing(docs, compiled, monkeypatch):
+    dice = random.Random(9)
+    rows = [
+        (i, "".join(dice.choices("abcd é", k=dice.randrange(1, 200))), f"l{i % 5}", "a")
+        for i in range(60)
+    ]
+    whole = sorted(map(tuple, perplexity.judge(docs(rows)).collect()))
+    monkeypatch.setattr(perplexity, "PASS_VALUES", 500)
+    monkeypatch.setattr(perplexity, "_HELD", 40)
+    again = sorted(map(tuple, perplexity.judge(docs(rows)).collect()))
+    assert [r[:6] for r in again] == [r[:6] for r in whole]
+    assert all(abs(a[6] - b[6]) < 1e-5 for a, b in zip(again, whole))
+
+
+def test_bands_equal_a_plain_program(docs, compiled):
+    dice = random.Random(10)
+    words = ["".join(dice.choices("abcdefgh", k=4)) for _ in range(80)]
+    rows = [(i, " ".join(dice.choices(words, k=dice.randrange(20, 90))), "en", "a") for i in range(41)]
+    rows += [(90, " ".join("".join(dice.choices("xyz", k=5)) for _ in range(50)), "en", "a")]
+    made = perplexity.judge(docs(rows)).collect()
+    values = sorted(r.log_perplexity for r in made if r.n_words >= perplexity.LEAST_WORDS)
+    middle = values[(len(values) - 1) // 2]
+    spread = sorted(abs(x - middle) for x in values)[(len(values) - 1) // 2]
+    reach = max(spread * perplexity.WIDTH, perplexity.LEAST_REACH)
+    for r in made:
+        wide = reach * math.sqrt(1 + perplexity.SHORT_WORDS / max(r.n_words, 1))
+        inside = abs(r.log_perplexity - middle) <= wide
+        assert r.in_band == inside and r.kept == (inside and not r.base_failed)
+
+
 def test_rules_reject_strange_texts_and_keep_the_rest(docs, compiled):
     dice = random.Random(6)
     words = ["".join(dice.choices("abcdefgh", k=5)) for _ in range(300)]
