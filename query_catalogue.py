@@ -65,6 +65,11 @@ class Inputs:
     def events(self) -> DataFrame:
         return timeline.session_events(self.traces, self.logs)
 
+    @cached_property
+    def stored_events(self) -> DataFrame:
+        """The replay columns of the timeline as a table, for operators that read it often."""
+        return stored.kept(self, self.events.select(*replay.COLUMNS))
+
     @cached_property
     def metrics(self) -> DataFrame:
         return metrics.session_metrics(self.points)
@@ -92,9 +97,10 @@ class Inputs:
 
     @cached_property
     def prompted(self) -> DataFrame:
-        return prompted_sessions(
-            self.completed, worksets.events_of(self.events, self.completed)
-        )
+        """Prompts of the completed sessions; their events are stored first, as the job does."""
+        due = stored.kept(self, self.completed)
+        events = worksets.events_of(self.events.select(*replay.COLUMNS), due)
+        return prompted_sessions(due, stored.kept(self, events))
 
 
 def _traces_scan(i: Inputs) -> DataFrame:
@@ -258,11 +264,11 @@ def _conversation_replay_short(i: Inputs) -> DataFrame:
 
 
 def _replay_lines(i: Inputs) -> DataFrame:
-    return replay.replay_lines(i.events).select("session_id", "part", "line")
+    return replay.replay_lines(i.stored_events).select("session_id", "part", "line")
 
 
 def _interaction_index(i: Inputs) -> DataFrame:
-    return replay.with_interaction_index(i.events).select(
+    return replay.with_interaction_index(i.stored_events).select(
         "session_id", "event_ts", "event_type", "detail_name", "duration_ms", "interaction_index"
     )
 
@@ -309,10 +315,10 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "visible_error_counts": lambda i: scores.visible_error_counts(i.events),
     "rule_scores": lambda i: i.rule_scores,
     "interaction_index": _interaction_index,
-    "interaction_compressed": lambda i: replay.compressed_interactions(i.events),
+    "interaction_compressed": lambda i: replay.compressed_interactions(i.stored_events),
     "replay_lines": _replay_lines,
-    "session_replay": lambda i: replay.session_replay(i.events),
-    "session_replay_short": lambda i: replay.session_replay(i.events, budget=SHORT_REPLAY),
+    "session_replay": lambda i: replay.session_replay(i.stored_events),
+    "session_replay_short": lambda i: replay.session_replay(i.stored_events, budget=SHORT_REPLAY),
     "conversation_replay_short": _conversation_replay_short,
     "conversation_replay": _conversation_replay,
     "judge_prompt": lambda i: i.prompted.select("session_id", "full_prompt"),

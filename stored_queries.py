@@ -27,6 +27,13 @@ def _schema(i) -> str:
     return name
 
 
+def kept(i, frame: DataFrame) -> DataFrame:
+    """`frame` computed once, as a table."""
+    name = f"{_schema(i)}.kept"
+    frame.write.saveAsTable(name)
+    return i.spark.table(name)
+
+
 def stored_bronze(i) -> str:
     """The bronze tables in a schema, with metric points of both temporalities."""
     schema = _schema(i)
