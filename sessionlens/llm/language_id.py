@@ -3,11 +3,17 @@
 Both steps vote with linear support vector machines, one for every two classes: between
 families, and between the languages of a family. A text is described by the square roots
 of the shares of its hashed character n-grams, so that a text and its repetition look
-alike. The machines learn from a bounded sample of each language's documents.
+alike. The machines learn from a bounded sample of each language's documents; the
+documents of the sample are described where they are read, and only their features
+reach the driver.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; languages
 that the family table does not name are families of their own; with one learnt language
-every text with letters has it; without any, all are `und`; repeated rows are alike.
+every text with letters has it; without any, all are `und`, as over an empty table of
+documents to learn from; an empty table to name stays empty; repeated rows are alike;
+languages with equal counts are learnt in the order of their names; ties of votes go
+to the greater sum of margins, then to the first name; columns named lang_pred or score
+give way, all others are kept.
 """
 
 from __future__ import annotations
@@ -24,7 +30,6 @@ from sessionlens.llm.texts import (
     code_points,
     is_letter,
     mixed,
-    slices,
     starts_of,
     text_or_empty,
     text_slices,
@@ -47,9 +52,12 @@ FAMILIES = {
     "malayic": ("id", "ms", "jv", "tl"),
 }
 _FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-#: Documents of each language that are learnt from, about; the sample is that times the
-#: number of languages.
+#: Documents of each language that are learnt from, about.
 SAMPLE_DOCS = 1000
+#: Documents of all languages together, about; each is `DIMENSIONS` numbers of four bytes.
+SAMPLE_ROWS = 16_000
+#: Languages that are learnt: those with the most usable documents.
+MOST_LANGUAGES = 32
 DIMENSIONS, LONGEST = 4096, 3
 _ROWS = 256
 STEPS, RIDGE = 200, 1e-4
@@ -155,33 +163,57 @@ class LanguageModel:
         return langs.tolist(), score
 
 
-def training_sample(docs: DataFrame, usable: Column, each: int = SAMPLE_DOCS) -> DataFrame:
-    """(lang, text) of about `each` documents of every language, by a hash of the id."""
+def training_sample(
+    docs: DataFrame,
+    usable: Column,
+    each: int = SAMPLE_DOCS,
+    most_languages: int = MOST_LANGUAGES,
+) -> DataFrame:
+    """(lang, text) of about `each` documents of every learnt language, by a hash of id and text.
+
+    Only the counts of the languages are shuffled, and at most `most_languages` of them
+    reach the driver; texts stay where they are read.
+    """
     rows = docs.filter(usable & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    learnt = counts.orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    each = min(each, SAMPLE_ROWS / max(len(learnt), 1))
     spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) / 1_000_000
-    return (
-        rows.select("doc_id", "lang", text_or_empty().alias("text"))
-        .join(counts, "lang")
-        .filter(spread * F.col("_n") < each)
-        .select("lang", "text")
-    )
+    chosen = F.lit(False)
+    for row in learnt:
+        chosen |= (F.col("lang") == row["lang"]) & (spread * row["n"] < each)
+    return rows.filter(chosen).select("lang", text_or_empty().alias("text"))
+
+
+def described_sample(sample: DataFrame) -> DataFrame:
+    """(lang, features) of the texts that have letters, a row of features as bytes."""
+
+    def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        made = []
+        for _, texts in text_slices(batch, "text"):
+            for rows, letters in _described(texts):
+                # Texts without letters say nothing about a language.
+                made += [row.tobytes() if n else None for row, n in zip(rows, letters)]
+        return {"features": pa.array(made, pa.binary())}
+
+    field = T.StructField("features", T.BinaryType(), True)
+    described = with_batch_columns(sample, compute, [field], keep=["lang"])
+    return described.filter(F.col("features").isNotNull())
 
 
-def fit(docs: DataFrame, usable: Column, each: int = SAMPLE_DOCS) -> LanguageModel | None:
+def fit(
+    docs: DataFrame,
+    usable: Column,
+    each: int = SAMPLE_DOCS,
+    most_languages: int = MOST_LANGUAGES,
+) -> LanguageModel | None:
     """Learns on the driver from the bounded sample; None if there is nothing to learn."""
-    sample = training_sample(docs, usable, each).toArrow().to_pydict()
-    langs, texts = np.array(sample["lang"], object), sample["text"]
-    # Texts without letters say nothing about a language.
-    parts, kept = [], []
-    lengths = np.array([len(t) for t in texts], int)
-    for start, end in slices(lengths):
-        for rows, letters in _described(texts[start:end]):
-            parts.append(rows[letters > 0])
-            kept.append(letters > 0)
-    if not any(len(rows) for rows in parts):
+    sample = described_sample(training_sample(docs, usable, each, most_languages))
+    table = sample.toArrow()
+    if not table.num_rows:
         return None
-    return LanguageModel(np.concatenate(parts), langs[np.concatenate(kept)])
+    rows = np.stack([np.frombuffer(f.as_buffer(), np.float32) for f in table["features"]])
+    return LanguageModel(rows, np.array(table["lang"].to_pylist(), object))
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:

@@ -46,6 +46,60 @@ def test_language_cases(docs, compiled):
     assert language_id.with_language(docs([german]), alone).first().lang_pred == "en"
 
 
+def _plain_prediction(model, row):
+    """The vote of one text, duel by duel."""
+
+    def vote(voters):
+        if len(voters.classes) == 1:
+            return 0, 1.0
+        votes, weakest = [0.0] * len(voters.classes), [math.inf] * len(voters.classes)
+        for n, (a, b) in enumerate(voters.pairs):
+            weights = voters.weights[:, n]
+            margin = float(row @ weights[:-1] + weights[-1])
+            for one, own in ((a, margin), (b, -margin)):
+                votes[one] += (own > 0) + 0.01 * math.tanh(own)
+                weakest[one] = min(weakest[one], own)
+        best = max(range(len(votes)), key=lambda c: votes[c])
+        return best, 1 / (1 + math.exp(-4 * max(-20, min(20, weakest[best]))))
+
+    family, sure = vote(model.families)
+    lang, also = vote(model.within[family])
+    return model.within[family].classes[lang], sure * also
+
+
+@needs_tables
+def test_predictions_equal_duels_one_by_one(spark, compiled):
+    docs, _ = _tables(spark)
+    model = language_id.fit(docs, id_remainder(3) != 1, each=40)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(60).collect()] + [None, "7 8"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = language_id.with_language(frame, model).orderBy("doc_id").collect()
+    for text, found in zip(texts, made):
+        rows, letters = language_id.describe([text or ""])
+        lang, score = _plain_prediction(model, rows[0]) if letters[0] else ("und", 0.0)
+        assert found.lang_pred == lang
+        assert found.score == pytest.approx(score, abs=1e-4)
+
+
+def test_sample_of_languages_moves_no_text(spark, docs, compiled):
+    rows = [(i, f"text {i}", ("en", "de", "fr")[i % 3], "a") for i in range(30)]
+    rows += [(100 + i, "one more", "en", "a") for i in range(5)] + [(200, "x", None, "a")]
+    sample = language_id.training_sample(docs(rows), F.lit(True), most_languages=2)
+    # Equal counts: the first name is learnt.
+    assert {r.lang for r in sample.collect()} == {"en", "de"}
+    assert sample.count() == 25
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_features_of_the_sample(docs, compiled):
+    sample = docs([(1, "ab", "en", "a"), (2, "12", "en", "a"), (3, None, "de", "a")])
+    described = language_id.described_sample(sample.select("lang", "text").na.fill("")).collect()
+    assert [r.lang for r in described] == ["en"]
+    row = np.frombuffer(described[0].features, np.float32)
+    assert np.array_equal(row, language_id.describe(["ab"])[0][0])
+
+
 def test_families_come_first():
     langs = np.array(["en", "de", "fr", "es", "xx"] * 4, object)
     rows = np.eye(5, dtype=np.float32)[np.tile(np.arange(5), 4)]
