@@ -36,6 +36,12 @@ SECTIONS, ROUNDS = 32, 7
 BLOCKS = 4096
 #: Places of a permutation are numbers below 2**60.
 PLACE_BITS, BLOCK_BITS = 60, 12
+#: Characters of scripts that put no spaces between words: Thai, Lao, Tibetan, Myanmar,
+#: Khmer, Japanese and Chinese ones. Each counts as a token.
+UNSPACED = (
+    r"[\x{0E00}-\x{0FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+)
 #: Columns that `mix` adds for a while.
 _OWN = ("_source", "source_tokens", "budget", "passes", "rest", "cutoff", "_copies")
 
@@ -57,10 +63,13 @@ class Target(NamedTuple):
 
 
 def word_tokens(text: str = "text") -> Column:
-    """Number of words, taken as one more than the number of spaces and newlines."""
+    """One more than the number of spaces and newlines, and every character of `UNSPACED`."""
     value = text_or_empty(text)
     gaps = F.length(value) - F.length(F.translate(value, " \n", ""))
-    return F.when(value == "", F.lit(0)).otherwise(gaps + 1).cast("long")
+    unspaced = F.length(value) - F.length(F.regexp_replace(value, UNSPACED + "+", ""))
+    # Texts in ASCII need no search.
+    unspaced = F.when(F.octet_length(value) > F.length(value), unspaced).otherwise(F.lit(0))
+    return F.when(value == "", F.lit(0)).otherwise(gaps + 1 + unspaced).cast("long")
 
 
 def _place(seed: str, number: Column) -> Column:

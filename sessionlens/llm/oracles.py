@@ -219,7 +219,9 @@ range_{n} AS (
 WITH tokened AS (
   SELECT doc_id, source, coalesce(source, '') AS key,
     CASE WHEN coalesce(text, '') = '' THEN 0
-      ELSE length(text) - length(translate(text, ' ' || chr(10), '')) + 1 END AS tokens
+      ELSE length(text) - length(translate(text, ' ' || chr(10), '')) + 1
+        + length(text) - length(regexp_replace(text, '{mixing.UNSPACED}+', '', 'g'))
+      END AS tokens
   FROM documents),
 shares AS (
   SELECT key, sum(tokens)::BIGINT AS tokens,

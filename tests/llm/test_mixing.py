@@ -3,9 +3,11 @@
 import hashlib
 import math
 
+import duckdb
 import pytest
 
-from sessionlens.llm import mixing
+import oracle_check
+from sessionlens.llm import mixing, oracles, queries
 
 
 def _tokens(text):
@@ -113,3 +115,19 @@ def test_empty_tables_and_clashing_columns(docs, compiled):
     clash = docs(["a b", "c"]).withColumnRenamed("lang", "mix_pass")
     made = mixing.mix(clash, TARGETS[0])
     assert made.columns.count("mix_pass") == 1 and made.count() == 2
+
+
+def test_tokens_of_scripts_without_spaces(docs, compiled, tmp_path):
+    texts = {
+        "": 0, "two words": 2, "naïve café": 2, "一个句子": 5, "日本語 text\nไทย": 9, "𠀀": 2, "한국어 말": 2,
+    }
+    frame = docs([*texts, None])
+    made = frame.select("text", mixing.word_tokens().alias("n")).collect()
+    assert {r.text: r.n for r in made} == texts | {None: 0}
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    sql = oracles.temperature_mix(queries.MIX_TARGET)
+    connection = duckdb.connect()
+    files = f"{tmp_path}/documents.parquet/*.parquet"
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{files}'")
+    found = queries.temperature_mix(compiled, str(tmp_path))
+    assert oracle_check.difference(found, connection, sql) is None
