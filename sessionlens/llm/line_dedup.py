@@ -6,6 +6,9 @@ lines of a text joined are the text. A rolling hash combines the hashes of each
 the one before it; a chunk ends where the rolling hash is smaller than at both
 neighbours. Boundaries thus depend on a few lines around them only and are found again
 when lines are inserted before them; between two boundaries lie two lines at least.
+Equal lines that follow each other have equal values and no such boundary; a chunk of more than
+`MOST_LINES` lines is therefore cut again behind each `MOST_LINES` lines, so that runs of
+different length, too, share their pieces.
 
 A chunk of `LEAST_LINES` lines and `LEAST_CHARS` characters or more that occurs several
 times, in one or in different documents, stays where it comes first in the order of
@@ -19,7 +22,9 @@ side has one row per hash, so that a frequent chunk can be split over tasks.
 
 Defined cases: a null or empty text has no chunks and stays as it is; rows that share a
 doc_id are one document, whose first occurrences stay in all of them; a null doc_id is
-one as well, and comes last.
+one as well, and comes last; of a run of equal lines one piece stays, and what is left of the run
+behind its last whole piece is a chunk like any other; an empty table stays empty;
+columns named n_chunks or n_removed give way, all others are kept.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from pyspark.sql import functions as F
 from sessionlens.llm.texts import set_aside
 
 LEAST_LINES, LEAST_CHARS = 2, 40
+MOST_LINES = 16
 SEPARATORS = (". ", ", ", "\n")
 MARK = "\x01"
 HASH_RANGE = 2**32
@@ -37,8 +43,8 @@ FACTOR = 31
 _DIGITS = 9
 #: Columns that `deduplicate` adds for a while.
 _OWN = (
-    "_id", "_removed", "_all", "_lines", "_hashes", "_rolled", "_ends", "_chunks", "_entries",
-    "_kept",
+    "_id", "_removed", "_all", "_lines", "_hashes", "_rolled", "_ends", "_cuts", "_chunks",
+    "_entries", "_kept",
 )
 #: Stands before chunks that may not repeat, in place of a number.
 _COMMON = "-" * _DIGITS
@@ -80,6 +86,17 @@ def _ends(rolled: Column) -> Column:
     return F.coalesce(F.filter(numbers, is_end), F.array().cast("array<int>"))
 
 
+def _cuts(ends: str) -> Column:
+    """The ends, and between them one behind each `MOST_LINES` lines of a longer chunk."""
+
+    def cut(end: Column, k: Column) -> Column:
+        first = F.coalesce(F.get(ends, k - 1), F.lit(0)) + MOST_LINES
+        pieces = F.sequence(first, end - 1, F.lit(MOST_LINES))
+        return F.when(first < end, F.array_append(pieces, end)).otherwise(F.array(end))
+
+    return F.flatten(F.transform(ends, cut))
+
+
 def _chunked(docs: DataFrame) -> DataFrame:
     """`docs` with `_chunks`: an array of (text, lines)."""
     with_lines = docs.withColumn("_lines", F.coalesce(lines(F.col("text")), F.array()))
@@ -87,12 +104,14 @@ def _chunked(docs: DataFrame) -> DataFrame:
     with_rolled = with_hashes.withColumn("_rolled", _rolled(F.col("_hashes"))).drop("_hashes")
     with_ends = with_rolled.withColumn("_ends", _ends(F.col("_rolled"))).drop("_rolled")
 
+    with_cuts = with_ends.withColumn("_cuts", _cuts("_ends")).drop("_ends")
+
     def chunk(end: Column, k: Column) -> Column:
-        before = F.coalesce(F.get("_ends", k - 1), F.lit(0))
+        before = F.coalesce(F.get("_cuts", k - 1), F.lit(0))
         text = F.array_join(F.slice("_lines", before + 1, end - before), "")
         return F.struct(text.alias("text"), (end - before).alias("lines"))
 
-    return with_ends.withColumn("_chunks", F.transform("_ends", chunk)).drop("_ends", "_lines")
+    return with_cuts.withColumn("_chunks", F.transform("_cuts", chunk)).drop("_cuts", "_lines")
 
 
 def _long_enough(chunk: Column, least_lines: int, least_chars: int) -> Column:

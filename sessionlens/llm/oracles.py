@@ -130,10 +130,15 @@ rolled AS (
   SELECT *, list_transform(h, lambda x, i:
     (coalesce(h[i - 1], 0) * {line_dedup.FACTOR} + x) % {line_dedup.HASH_RANGE}) AS r
   FROM hashed),
-ended AS (
+parted AS (
   SELECT *, list_filter(range(1, len(r) + 1), lambda i:
-    i = len(r) OR coalesce(r[i] < r[i - 1] AND r[i] < r[i + 1], false)) AS e
+    i = len(r) OR coalesce(r[i] < r[i - 1] AND r[i] < r[i + 1], false)) AS b
   FROM rolled),
+ended AS (
+  SELECT *, list_sort(list_distinct(flatten(list_transform(b, lambda x, k:
+    list_append(range(coalesce(b[k - 1], 0) + {line_dedup.MOST_LINES}, x,
+      {line_dedup.MOST_LINES}), x))))) AS e
+  FROM parted),
 chunked AS (
   SELECT doc_id, text, len(e)::INT AS n_chunks, unnest(list_transform(e, lambda x, k: {{
     'place': k, 'lines': x - coalesce(e[k - 1], 0),

@@ -21,7 +21,7 @@ def _chunks(text):
     chunks, start = [], 0
     for i in range(len(lines)):
         inner = 0 < i < len(lines) - 1 and rolled[i] < rolled[i - 1] and rolled[i] < rolled[i + 1]
-        if inner or i == len(lines) - 1:
+        if inner or i == len(lines) - 1 or i + 1 - start == d.MOST_LINES:
             chunks.append((i + 1 - start, "".join(lines[start:i + 1])))
             start = i + 1
     return chunks
@@ -74,6 +74,15 @@ def test_dedup_equals_plain_program(docs, compiled):
     assert sum(passage in (text or "") for _, text, _, _ in found) == 1
 
 
+def test_runs_of_equal_lines(docs, compiled):
+    line = "all of these lines are the same one\n"
+    texts = [line * 50, "Before that. " + line * 60, line * 50, "A start. " * 3 + line * 7]
+    found = _found(d.deduplicate(docs(texts)))
+    assert found == _brute(list(enumerate(texts)))
+    kept = [text.count("same") for _, text, _, _ in found]
+    assert kept[0] < 50 and kept[1] < 60 and kept[2] == 0
+
+
 def test_lines_join_to_the_text_and_columns_are_kept(docs, compiled):
     frame = docs(["a. b, c\nd", "x\x01y. z"]).withColumnRenamed("lang", "n_removed")
     made = d.deduplicate(frame)
