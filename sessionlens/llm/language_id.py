@@ -55,7 +55,7 @@ _FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in lan
 #: Documents of each language that are learnt from, about.
 SAMPLE_DOCS = 1000
 #: Documents of all languages together, about; each is `DIMENSIONS` numbers of four bytes.
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS = 4_000
 #: Languages that are learnt: those with the most usable documents.
 MOST_LANGUAGES = 32
 DIMENSIONS, LONGEST = 4096, 3
