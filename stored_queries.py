@@ -27,10 +27,10 @@ def _schema(i) -> str:
     return name
 
 
-def kept(i, frame: DataFrame) -> DataFrame:
+def kept(i, frame: DataFrame, *partition_by: str) -> DataFrame:
     """`frame` computed once, as a table."""
     name = f"{_schema(i)}.kept"
-    frame.write.saveAsTable(name)
+    frame.write.partitionBy(*partition_by).saveAsTable(name)
     return i.spark.table(name)
 
 
@@ -113,10 +113,13 @@ def replaced_timeline(i, old: DataFrame, new: DataFrame) -> DataFrame:
 
 def delivered_timeline(i) -> DataFrame:
     """The timeline in three deliveries, the last one twice, then gathered by day."""
-    name, events = f"{_schema(i)}.{v.SILVER_EVENTS}", i.events
+    name = f"{_schema(i)}.{v.SILVER_EVENTS}"
     number = F.pmod(F.xxhash64("session_id", "event_ts", "event_type"), F.lit(3))
+    # As deliveries come: computed once, each apart from the others.
+    arrived = kept(i, i.events.withColumn("_number", number), "_number")
     for delivery in (0, 1, 2, 2):
-        silver.merge_events(events.filter(number == delivery), name, f"d-{delivery}")
+        events = arrived.filter(F.col("_number") == delivery).drop("_number")
+        silver.merge_events(events, name, f"d-{delivery}")
     silver.gather_deliveries(i.spark, name)
     return i.spark.table(name).drop(*silver.LAYOUT)
 

@@ -1,8 +1,8 @@
 """Maps the driver's test tables to bronze-shaped frames (see FIXTURES.md, part 3).
 
 Only the queries in `__spark_entry__.py`, the bench and the tests use this; the
-library itself reads bronze tables. One scan per frame: each event row expands
-into the spans, the log record or the metric points its type stands for.
+library itself reads bronze tables. One scan per frame, dealt out by the event: each event
+row expands into the spans, the log record or the metric points its type stands for.
 """
 
 from __future__ import annotations
@@ -50,12 +50,22 @@ def _attributes(**values: str) -> str:
     return f"map({', '.join(pairs)})"
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event rows, dealt evenly to the tasks.
+
+    A task reads whole row groups, and the file may have very few; a row is narrow here and
+    dear in what is made of it.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return rows.repartition("event_id", "ts", "user_id")
+
+
 def _expand(spark: SparkSession, sf_dir: str, rows_of: dict[str, list[str]]) -> DataFrame:
     """Rows of the structs listed for the type of each event."""
     cases = " ".join(
         f"WHEN '{kind}' THEN array({', '.join(rows)})" for kind, rows in rows_of.items()
     )
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_EVENT_COLUMNS)
+    events = _events(spark, sf_dir).selectExpr(*_EVENT_COLUMNS)
     return events.selectExpr(f"inline(CASE event_type {cases} END)")
 
 
