@@ -5,8 +5,8 @@ previous point of the same series counts. A series is a metric name with its att
 those of its resource. A counter that starts anew, or a monotonic one that falls, has begun
 again from zero, and its whole value counts.
 
-The previous point of a point is found inside a time bucket of its series; only the last
-point of a bucket is passed on to the next one, so a series is never ordered as a whole.
+The previous point of a point is found inside a time bucket of its series; only the first and
+last points of buckets are ordered by series, so a series is never ordered as a whole.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ _SERIES = ["name", "attributes", "resource"]
 
 def _entries(column: str) -> Column:
     """A map as an array that can be compared."""
-    return F.array_sort(F.map_entries(column))
+    return F.sort_array(F.map_entries(column))
 
 
 def is_cumulative() -> Column:
@@ -47,25 +47,30 @@ def _cumulative_points(metrics: DataFrame) -> DataFrame:
 def increases(metrics: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:
     """(name, attributes, t, value): the increase at each cumulative point."""
     bucket = F.expr(f"t div {bucket_s * 10**9}")
-    points = _cumulative_points(metrics).withColumn("b", bucket)
-    keys = [*_SERIES, "b"]
+    # The hash decides nearly all comparisons of a sort.
+    points = _cumulative_points(metrics).withColumns({"b": bucket, "h": F.xxhash64(*_SERIES)})
     point = F.struct("t", "value", "start")
-    of_series = Window.partitionBy(*_SERIES).orderBy("b")
-    edges = points.groupBy(*keys).agg(F.max(point).alias("last"))
-    edges = edges.select(*keys, F.lag("last").over(of_series).alias("before"))
-    in_bucket = Window.partitionBy(*keys).orderBy("t", "value", "start")
-    previous = F.coalesce(F.lag(point).over(in_bucket), F.col("before"))
+    in_bucket = Window.partitionBy("h", *_SERIES, "b").orderBy("t", "value", "start")
+    placed = points.withColumns(
+        {
+            "earlier": F.lag(point).over(in_bucket),
+            "is_last": F.lead("t").over(in_bucket).isNull(),
+        }
+    )
+    is_first = F.col("earlier").isNull()
+    # First and last points of all buckets meet in their series; others stay in their bucket.
+    inside = F.when(~is_first & ~F.col("is_last"), F.col("b"))
+    of_series = Window.partitionBy("h", *_SERIES, inside).orderBy("b", ~is_first)
+    previous = F.coalesce("earlier", F.lag(point).over(of_series))
     again = (
         F.col("previous").isNull()
         | (F.col("previous.start") != F.col("start"))
         | (F.col("monotonic") & (F.col("value") < F.col("previous.value")))
     )
     rise = F.when(again, F.col("value")).otherwise(F.col("value") - F.col("previous.value"))
-    return (
-        points.join(edges, keys)
-        .withColumn("previous", previous)
-        .select("name", F.map_from_entries("attributes").alias("attributes"), "t", rise.alias("value"))
-    )
+    attributes = F.map_from_entries("attributes").alias("attributes")
+    risen = placed.withColumn("previous", previous)
+    return risen.select("name", attributes, "t", rise.alias("value"))
 
 
 def as_deltas(metrics: DataFrame, bucket_s: int = BUCKET_S) -> DataFrame:

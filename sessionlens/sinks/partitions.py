@@ -92,9 +92,8 @@ def exchange(
     contents.write.format(file_format).partitionBy(*parts).save(root)
     as_text = [F.col(p).cast("string").alias(p) for p in parts]
     found = spark.read.format(file_format).schema(contents.schema).load(root)
-    folder = F.regexp_extract("_metadata.file_path", "^(.*)/", 1).alias(_NEW)
-    places = found.select(*as_text, folder).distinct().collect()
-    new = {tuple(place[p] for p in parts): place[_NEW] for place in places}
+    places = _folders(found.select(*as_text, F.col("_metadata.file_path").alias("_file")), parts)
+    new = {tuple(place[p] for p in parts): place[_NEW] for place in places.collect()}
     shown = _existing(spark, name)
     held = shown
     if touched is not None:
@@ -112,6 +111,14 @@ def exchange(
     recover(spark, name, keep=run)
 
 
+def _folders(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Partitions and their folders, from rows with their `_file`; a path is cut once per file."""
+    # Counted, as a mere distinct below another one is left out of the plan.
+    files = rows.groupBy(*parts, "_file").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0")
+    folder = F.regexp_extract("_file", "^(.*)/", 1).alias(_NEW)
+    return files.select(*parts, folder).distinct()
+
+
 def _existing(spark: SparkSession, name: str) -> set[tuple]:
     """Values of all partitions, as text."""
     found = set()

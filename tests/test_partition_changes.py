@@ -245,3 +245,17 @@ def test_signals_of_changed_sessions_equal_a_full_run(spark, bronze, schema_name
     score_human_signals(*args)
     whole = [sorted(spark.table(f"{schema_name}.{t}").drop("computed_at").collect()) for t in tables_of]
     assert found == whole and len(found[0]) == 2
+
+
+def test_paths_are_cut_once_per_file(spark):
+    rows = spark.createDataFrame(
+        [("x", "/r/p=x/1.parquet"), ("x", "/r/p=x/2.parquet"), ("x", "/r/p=x/2.parquet"), (None, "/r/p=n/1")],
+        "p string, _file string",
+    )
+    found = partitions._folders(rows, ["p"])
+    assert sorted(map(tuple, found.collect()), key=str) == [("x", "/r/p=x"), (None, "/r/p=n")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    below = lines[max(n for n, line in enumerate(lines) if "regexp_extract" in line) + 1:]
+    # Rows are combined by file below the expression.
+    assert any("Aggregate(keys=[p#" in line and "_file#" in line for line in below)

@@ -99,3 +99,21 @@ def test_a_series_is_ordered_by_buckets(spark):
     assert len(windows) == 2 and "Python" not in plan
     # Single points are ordered inside a bucket; whole series only by their buckets' last points.
     assert any("b#" in line.split("], [")[1] for line in windows)
+
+
+def test_points_are_read_once_and_edges_of_buckets_meet(spark):
+    rows = _points(spark, [])
+    plan = temporality.increases(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LocalTableScan") + plan.count("Scan ExistingRDD") == 1
+    assert "Join" not in plan
+    # Buckets of one point, of two and of many, in two series; a copy at the edge of a bucket.
+    times = [0, HOUR, HOUR + 1, 5 * HOUR, 5 * HOUR + 1, 5 * HOUR + 2, 5 * HOUR + 3, 9 * HOUR]
+    rows = [_point(10.0 * (n + 1), t, session=s) for n, t in enumerate(times) for s in ("s1", "s2")]
+    rows += [_point(20.0, HOUR), _point(70.0, 5 * HOUR + 3)]
+    found = temporality.increases(_points(spark, rows)).collect()
+    assert sorted((r.attributes["session.id"], r.t, r.value) for r in found) == [
+        (s, t, 10.0) for s in ("s1", "s2") for t in times
+    ]
+    # Attributes in another order are the same series.
+    one, two = _point(1.0, 1, a="x", b="y"), _point(3.0, 2, b="y", a="x")
+    assert _costs(spark, [one, two]) == {"s1": 3.0}
