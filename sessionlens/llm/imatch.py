@@ -35,6 +35,8 @@ DENSITIES, SUBSETS_EACH = 8, 4
 SUBSETS = DENSITIES * SUBSETS_EACH
 HASH_CHARS = 8
 _EMPTY = "." * HASH_CHARS
+#: Of each density: the bits of its subsets.
+_BITS = [sum(1 << (d + DENSITIES * i) for i in range(SUBSETS_EACH)) for d in range(DENSITIES)]
 #: About so many documents are brought together to find each one's successor.
 BLOCK_ROWS = 1024
 _NO_TERM = r"[^\p{L}\p{N}]+"
@@ -78,33 +80,50 @@ def _subset_mask(term: Column) -> Column:
     return F.aggregate(_subset_numbers(), F.lit(0).cast("long"), lambda mask, k: mask + bit(k))
 
 
-def fingerprint(kept: Column) -> Column:
-    """Of an array of (term, mask), sorted by term and without repeats."""
+def _hashes(kept: Column) -> Column:
+    """The hash of each subset, of an array of (term, mask), sorted by term and without repeats.
 
-    def part(k: Column) -> Column:
-        chosen = F.filter(kept, lambda x: F.getbit(x["mask"], k) == 1)
-        joined = F.array_join(F.transform(chosen, lambda x: x["term"]), " ")
-        digest = F.substring(F.md5(joined), 1, HASH_CHARS)
+    A lambda computes what it names as often as it names it, so each step is an array of its
+    own. A term lies in four subsets on the average: those of a density look only at the terms
+    that lie in one of them.
+    """
+
+    def of_density(bits: Column) -> Column:
+        return F.filter(kept, lambda x: x["mask"].bitwiseAND(bits) != 0)
+
+    def joined(k: Column, by_density: Column) -> Column:
+        chosen = F.filter(
+            by_density[k % DENSITIES], lambda x: F.getbit(x["mask"], k).cast("boolean")
+        )
+        return F.array_join(chosen["term"], " ")
+
+    def digest(text: Column) -> Column:
         # No text of a term is empty, so an empty join means an empty choice.
-        return F.when(joined == "", F.lit(_EMPTY)).otherwise(digest)
+        found = F.substring(F.md5(text), 1, HASH_CHARS)
+        return F.when(text == "", F.lit(_EMPTY)).otherwise(found)
 
-    return F.array_join(F.transform(_subset_numbers(), part), "")
+    densities = F.transform(F.array(*[F.lit(b).cast("long") for b in _BITS]), of_density)
+    texts = F.transform(
+        F.array(densities),
+        lambda by_density: F.transform(_subset_numbers(), lambda k: joined(k, by_density)),
+    )[0]
+    return F.transform(texts, digest)
 
 
-def likeness(left: Column, right: Column) -> Column:
-    """Share of equal hashes among the subsets in which either text has terms."""
+def _equalities(left: Column, right: Column) -> Column:
+    """Of two arrays of hashes: whether they are equal, for the subsets in which either text
+    has terms."""
+
+    def equal(a: Column, b: Column) -> Column:
+        return F.when((a != _EMPTY) | (b != _EMPTY), a == b)
+
+    return F.array_compact(F.zip_with(left, right, equal))
 
-    def parts(text: Column) -> Column:
-        return F.transform(
-            _subset_numbers(),
-            lambda k: F.substr(text, k * HASH_CHARS + 1, F.lit(HASH_CHARS)),
-        )
 
-    pairs = F.arrays_zip(parts(left).alias("l"), parts(right).alias("r"))
-    used = F.filter(pairs, lambda p: (p["l"] != _EMPTY) | (p["r"] != _EMPTY))
-    equal = F.filter(used, lambda p: p["l"] == p["r"])
-    share = F.size(equal).cast("double") / F.size(used)
-    return F.when(F.size(used) == 0, F.lit(1.0)).otherwise(share)
+def _share(equalities: Column) -> Column:
+    """Share of those that are true; two texts without terms are alike."""
+    equal = F.size(F.array_remove(equalities, False)).cast("double")
+    return F.when(F.size(equalities) == 0, F.lit(1.0)).otherwise(equal / F.size(equalities))
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -196,26 +215,42 @@ def fingerprints(
         F.col("mask").isNotNull() | (F.col("term") == "")
     )
     entry = F.struct("term", "mask")
-    mine = (F.col("term") != "") & F.col("mask").isNotNull()
-    gathered = found.groupBy("block", "place", "guest").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("n_chars").alias("n_chars"),
-        F.max("edited_sha256").alias("edited_sha256"),
-        F.array_sort(F.collect_set(F.when(mine & (F.col("side") == 0), entry))).alias("own"),
-        F.array_sort(F.collect_set(F.when(mine & (F.col("side") == 1), entry))).alias("other"),
+    is_marker = F.col("term") == ""
+    # What belongs to the document goes with its markers alone, so that the rows stay narrow.
+    about = F.when(is_marker, F.struct("doc_id", "n_chars", "edited_sha256"))
+
+    def of_side(number: int) -> Column:
+        return ~is_marker & (F.col("side") == number)
+
+    gathered = (
+        found.select("block", "place", "guest", "side", "term", "mask", about.alias("about"))
+        .groupBy("block", "place", "guest")
+        .agg(
+            F.max("about").alias("about"),
+            # The terms of a text are distinct, and so are those of the lexicon.
+            F.sort_array(F.collect_list(F.when(of_side(0), entry))).alias("own"),
+            F.sort_array(F.collect_list(F.when(of_side(1), entry))).alias("other"),
+        )
+        .select("block", "place", "guest", "about.*", "own", "other")
     )
     by_place = Window.partitionBy("block").orderBy("place")
-    made = gathered.select(
+    hashed = gathered.select(
         "block", "place", "guest", "doc_id", "n_chars", "edited_sha256",
-        fingerprint(F.col("own")).alias("fingerprint"),
-        fingerprint(F.col("other")).alias("edited_fingerprint"),
-    ).withColumn("next_fingerprint", F.lead("fingerprint").over(by_place))
-    return made.filter(F.col("guest") == 0).select(
+        _hashes(F.col("own")).alias("hashes"),
+        _hashes(F.col("other")).alias("edited_hashes"),
+    ).withColumn("next_hashes", F.lead("hashes").over(by_place))
+    compared = hashed.filter(F.col("guest") == 0).withColumns(
+        {
+            "edited_equal": _equalities(F.col("hashes"), F.col("edited_hashes")),
+            "next_equal": _equalities(F.col("hashes"), F.col("next_hashes")),
+        }
+    )
+    return compared.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        F.array_join("hashes", "").alias("fingerprint"),
+        F.array_join("edited_hashes", "").alias("edited_fingerprint"),
+        _share(F.col("edited_equal")).alias("near_edited"),
+        _share(F.col("next_equal")).alias("near_next"),
     )

@@ -69,6 +69,14 @@ def test_fingerprint_plan_has_no_python(docs, compiled):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
+def test_subsets_are_chosen_once_and_rows_stay_narrow(docs, compiled):
+    plan = imatch.fingerprints(docs(["a b"]))._jdf.queryExecution().optimizedPlan().toString()
+    # One choice of terms per side: a lambda computes an expression that it names twice twice.
+    assert plan.count("getbit(") == 2
+    # Terms are sorted by their own order, not by a lambda, and need no set.
+    assert "array_sort(" not in plan and "collect_set(" not in plan
+
+
 URLS = [
     ("http://www.Example.com/en/1?x#y", "www.example.com", "/en/1", "www.example.com/en/", "allow"),
     ("http://m.example.com/en/1", "m.example.com", "/en/1", "example.com/en/", "block"),
