@@ -97,8 +97,10 @@ def write_timeline(raw: bronze.Bronze, events_table: str) -> None:
         timeline_days.note(rows, events_table)
         return timeline_days.days_of(events_table, rows)
 
-    events = by_day(timeline.session_events(raw.traces, raw.logs))
-    _write(spark, events, events_table, _KEY, within)
+    with tables.Staging(spark, schema_of(events_table)) as staging:
+        # Cutting the ranges of days and sessions reads all rows once more, for a sample.
+        events = staging.keep(timeline.session_events(raw.traces, raw.logs))
+        _write(spark, by_day(events), events_table, _KEY, within)
 
 
 def merge_events(arrived: DataFrame, events_table: str, delivery: str) -> None:

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import event, events, log, span, summaries, session
+from conftest import logs as frame_of_logs
+from conftest import traces as frame_of_spans
 from sessionlens import vocabulary as v
 from sessionlens.operators import worksets
 from sessionlens.plans import silver, timeline_days
@@ -153,6 +155,29 @@ def timeline(spark, bronze, schema_name):
     return name
 
 
+def test_a_timeline_is_made_once(spark, schema_name):
+    tables.ensure_schema(spark, schema_name)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(body):
+        made.add(1)
+        return body
+
+    rows = [log(v.LOG_USER_PROMPT, f"s{i}", ts=i) for i in range(20)]
+    counting = F.udf(counted).asNondeterministic()
+    raw = readers.Bronze(
+        frame_of_spans(spark, [span(v.SPAN_TOOL)]),
+        frame_of_logs(spark, rows).withColumn("body", counting("body")),
+        None,
+    )
+    name = f"{schema_name}.{v.SILVER_EVENTS}"
+    silver.write_timeline(raw, name)
+    # Cutting ranges for the sort takes a sample, which must not make all rows once more.
+    assert made.value == len(rows)
+    assert spark.table(name).count() == len(rows) + 1
+    assert spark.sql(f"SHOW TABLES IN {schema_name} LIKE 'staged_*'").count() == 0
+
+
 def _partition_filters(frame):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
